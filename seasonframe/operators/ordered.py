@@ -191,18 +191,53 @@ def add_ranks(
     """
     keys = sort_keys(order_by)
     require_columns(df, partition_by, [k.name for k in keys])
+    outputs = {name: kind for name, kind in ((rank, "rank"), (dense_rank, "dense_rank")) if name}
     if find_slices(df, partition_by, keys, rows_per_slice) is None:
-        w = Window.partitionBy(*partition_by).orderBy(*(k.sort() for k in keys))
-        wanted = [(rank, F.rank()), (dense_rank, F.dense_rank())]
-        return df.select("*", *(f.over(w).cast("bigint").alias(n) for n, f in wanted if n))
+        return _ranks_by_window(df, partition_by, keys, outputs)
+    return _ranks_by_value(df, df, partition_by, keys, outputs, rows_per_slice)
+
+
+def _ranks_by_window(
+    df: DataFrame, partition_by: Sequence[str], keys: Sequence[SortKey], outputs: dict[str, str]
+) -> DataFrame:
+    w = Window.partitionBy(*partition_by).orderBy(*(k.sort() for k in keys))
+    ranks = {"rank": F.rank(), "dense_rank": F.dense_rank()}
+    return df.select("*", *(ranks[kind].over(w).cast("bigint").alias(n) for n, kind in outputs.items()))
 
+
+def _ranks_by_value(
+    df: DataFrame,
+    source: DataFrame,
+    partition_by: Sequence[str],
+    keys: Sequence[SortKey],
+    outputs: dict[str, str],
+    rows_per_slice: int | None,
+) -> DataFrame:
+    """Ranks from the row counts per distinct sort value of ``source``, joined to ``df``."""
     group = list(dict.fromkeys([*partition_by, *(k.name for k in keys)]))
-    peers = df.groupBy(*group).agg(F.count("*").alias("__peers"))
+    peers = source.groupBy(*group).agg(F.count("*").alias("__peers"))
     scans = {"__through": F.col("__peers"), "__dense": F.lit(1)}
     scanned = prefix_sums(peers, partition_by, keys, scans, rows_per_slice)
-    wanted = [(rank, F.col("__through") - F.col("__peers") + 1), (dense_rank, F.col("__dense"))]
-    ranks = scanned.select(*group, *(c.cast("bigint").alias(n) for n, c in wanted if n))
-    return join_on_same(df, ranks, group, "left")
+    ranks = {"rank": F.col("__through") - F.col("__peers") + 1, "dense_rank": F.col("__dense")}
+    ranked = scanned.select(*group, *(ranks[kind].cast("bigint").alias(n) for n, kind in outputs.items()))
+    return join_on_same(df, ranked, group, "left")
+
+
+def rank_rows(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    order_by,
+    tie_break: Sequence[str],
+    rows_per_slice: int | None = ROWS_PER_SLICE,
+) -> DataFrame:
+    """Add row_number (in the order including ``tie_break``), rank and dense_rank."""
+    keys, breakers = sort_keys(order_by), sort_keys(list(tie_break))
+    outputs = {"rank": "rank", "dense_rank": "dense_rank"}
+    cuts = find_slices(df, partition_by, keys + breakers, rows_per_slice)
+    numbered = _prefix_sums(df, partition_by, keys + breakers, {"row_number": F.lit(1)}, cuts)
+    if cuts is None:
+        return _ranks_by_window(numbered, partition_by, keys, outputs)
+    return _ranks_by_value(numbered, df, partition_by, keys, outputs, rows_per_slice)
 
 
 def over_neighbours(

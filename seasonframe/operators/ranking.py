@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seasonframe.functions import SortKey, as_names, exact_ratio, join_on_same, require_columns, sort_keys
-from seasonframe.operators.ordered import ROWS_PER_SLICE, add_ranks, find_slices, prefix_sums
+from seasonframe.operators.ordered import ROWS_PER_SLICE, rank_rows
 
 
 def extreme_row(
@@ -131,10 +131,7 @@ def rankings(
     require_columns(df, group, [k.name for k in keys + breakers])
     if not breakers:
         raise ValueError("tie_break must name columns that make the order total")
-    if find_slices(df, group, keys + breakers, rows_per_slice) is None:
-        rows_per_slice = None
-    numbered = prefix_sums(df, group, keys + breakers, {"row_number": F.lit(1)}, rows_per_slice)
-    return add_ranks(numbered, group, keys, "rank", "dense_rank", rows_per_slice)
+    return rank_rows(df, group, keys, [k.name for k in breakers], rows_per_slice)
 
 
 def rank_tally(
