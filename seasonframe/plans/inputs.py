@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seasonframe.sources import read_table
+from seasonframe.sources import read_driver_table as read_table
 
 
 def cents(column: str) -> Column:
-    return (F.col(column).cast("decimal(18,2)") * 100).cast("bigint")
+    """A stored price as whole cents; prices are not negative."""
+    return F.floor(F.col(column) * 100 + 0.5)
 
 
 def day_number(column: str) -> Column:

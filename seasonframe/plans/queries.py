@@ -21,7 +21,7 @@ from seasonframe.plans.inputs import (
     plain_types,
     user_days,
 )
-from seasonframe.sources import read_table
+from seasonframe.sources import read_driver_table as read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 

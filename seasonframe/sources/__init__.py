@@ -1,3 +1,9 @@
-from seasonframe.sources.tables import SEASON_SCHEMAS, read_season_tables, read_table, season_table
+from seasonframe.sources.tables import (
+    DRIVER_SCHEMAS,
+    SEASON_SCHEMAS,
+    read_driver_table,
+    read_season_tables,
+    season_table,
+)
 
-__all__ = ["SEASON_SCHEMAS", "read_season_tables", "read_table", "season_table"]
+__all__ = ["DRIVER_SCHEMAS", "SEASON_SCHEMAS", "read_driver_table", "read_season_tables", "season_table"]

@@ -48,3 +48,13 @@ def test_query_equals_sql(spark, duck, name):
     duck_types = dict(zip(relation.columns, map(str, relation.types)))
     names = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
     assert {c: names[t] for c, t in spark_types.items()} == duck_types
+
+
+def test_declared_schemas_match_the_files(spark):
+    from pyspark.sql import types as T
+
+    from seasonframe.sources import DRIVER_SCHEMAS
+
+    for name, ddl in DRIVER_SCHEMAS.items():
+        stored = {f.name: f.dataType for f in spark.read.parquet(f"{SF_DIR}/{name}.parquet").schema}
+        assert stored == {f.name: f.dataType for f in T.StructType.fromDDL(ddl)}
