@@ -5,6 +5,7 @@ from seasonframe.functions.exprs import (
     guarded_corr,
     integer_ratio,
     join_on_same,
+    left_join_many,
     require_columns,
     row_differs,
     sort_keys,
@@ -17,6 +18,7 @@ __all__ = [
     "guarded_corr",
     "integer_ratio",
     "join_on_same",
+    "left_join_many",
     "require_columns",
     "row_differs",
     "sort_keys",

@@ -117,6 +117,16 @@ def join_on_same(left: DataFrame, right: DataFrame, names: Iterable[str], how: s
     return left.join(other, same, how).drop(*(f"__right_{n}" for n in keys))
 
 
+def left_join_many(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
+    """``one LEFT JOIN many`` where ``many`` may repeat a key very often.
+
+    An outer join cannot split a hot key on its inner side, an inner join can. So the
+    matches come from an inner join, and the rows without a match are added.
+    """
+    alone = one.join(many.select(key).distinct(), key, "left_anti")
+    return many.join(one, key).unionByName(alone, allowMissingColumns=True)
+
+
 def guarded_corr(x: Column, y: Column, digits: int | None = 4) -> Column:
     """Pearson correlation over complete pairs; NULL below two pairs or when a side is constant."""
     x, y = x.cast("double"), y.cast("double")

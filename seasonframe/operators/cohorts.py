@@ -62,25 +62,31 @@ def cohort_conversion(
 ) -> DataFrame:
     """How many members of a base cohort are winners, per group (NULL is a group too).
 
-    ``distinct`` counts a winner once however many winning rows there are. ``how="full"``
-    returns the listing instead: every base member and every winner, with the ``labels``
+    ``distinct`` counts a winner once however many winning rows there are; otherwise a
+    member counts once per winning row. People have one row per key. ``how="full"`` returns the listing instead: every base member and every winner, with the ``labels``
     of both sides and a ``won`` mark; a winner outside the base keeps NULL labels.
     """
     require_columns(people, key, group, labels)
     require_columns(winners, key)
-    members = cohort(people, base, key)
-    won = winners.select(key)
-    if distinct:
-        won = won.distinct()
-    if how == "full":
-        listing = members.select(key, group, *labels).join(won.withColumn("won", F.lit(True)), key, "full")
-        return listing.withColumn("won", F.coalesce("won", F.lit(False)))
-    if how != "left":
+    if how not in ("left", "full"):
         raise ValueError("how must be 'left' or 'full'")
-    marked = members.select(key, group).join(won.withColumn("_won", F.lit(1)), key, "left")
+    members = cohort(people, base, key).select(key, group, *labels)
+    won = winners.groupBy(key).agg(F.count("*").alias("_times"))
+    if how == "full":
+        mark = F.lit(True).alias("won")
+        if distinct:
+            listing = members.join(won.select(key, mark), key, "full")
+        else:
+            # Every winning row is kept, so it must be the side that a hot key can split.
+            alone = members.join(won, key, "left_anti")
+            listing = winners.select(key, mark).join(members, key, "left").unionByName(alone, allowMissingColumns=True)
+        return listing.select(key, group, *labels, F.coalesce("won", F.lit(False)).alias("won"))
+    marked = members.select(key, group).join(won, key, "left")
+    # Without distinct, a member counts once per winning row on both sides of the ratio.
+    times = F.when(F.col("_times").isNotNull(), 1) if distinct else F.col("_times")
     return (
         marked.groupBy(group)
-        .agg(F.count(key).alias("members"), F.count("_won").alias("converted"))
+        .agg(F.sum(F.coalesce(times, F.lit(1))).alias("members"), F.coalesce(F.sum(times), F.lit(0)).alias("converted"))
         .withColumn("percent", exact_ratio(F.col("converted"), F.col("members"), digits, percent=True))
     )
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seasonframe.functions import as_names, exact_ratio, integer_ratio, require_columns
+from seasonframe.functions import as_names, exact_ratio, integer_ratio, left_join_many, require_columns
 
 
 def entity_totals(
@@ -122,7 +122,7 @@ def threshold_with_attribute(
     require_columns(attributes, key, attribute)
     chosen = attributes if attr_where is None else attributes.where(attr_where)
     high = facts.groupBy(key).agg(F.sum(sum_col).alias(total)).where(F.col(total) >= minimum)
-    return high.join(chosen.select(key, attribute), key, "left")
+    return left_join_many(high, chosen.select(key, attribute), key).select(key, total, attribute)
 
 
 def repeat_threshold(

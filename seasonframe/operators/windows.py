@@ -19,6 +19,7 @@ from seasonframe.functions import as_names, exact_ratio, join_on_same, require_c
 from seasonframe.operators.ordered import (
     ROWS_PER_SLICE,
     add_ranks,
+    has_calendar_type,
     over_distance,
     over_neighbours,
     prefix_sums,
@@ -132,7 +133,9 @@ def pace_vs_benchmark(
     The step is the number of distinct periods so far. Give ``at_period`` (compare where
     everyone stands in that period) or ``at_step`` (compare after so many periods). The
     benchmark entity is left out by key; ``exclude`` leaves out further rows.
-    ``aggregate=False`` compares single rows along (period, tie_break) instead of periods.
+    ``aggregate=False`` compares the others' single rows along (period, tie_break) instead
+    of their periods. The benchmark has one total per step, the one at the period's end, so
+    that a benchmark with many rows does not pair them all with everyone else's.
 
     In the aggregated form the totals need no window over whole series: rows up to the
     period are summed, or only the first ``at_step`` periods of each entity are kept.
@@ -144,40 +147,41 @@ def pace_vs_benchmark(
     others = df.where(~is_benchmark)
     if exclude is not None:
         others = others.where(~exclude)
-    columns = [entity, F.col("period_number").alias("step"), "running_total"]
+    if at_period is not None:
+        pace = running_total(df.where(is_benchmark), entity, period, value, rows_per_slice=rows_per_slice)
+        pace = pace.withColumnRenamed("period_number", "step")
+    else:
+        pace = _first_periods(df.where(is_benchmark), entity, period, value, at_step)
+    pace = pace.select("step", F.col("running_total").alias("benchmark_total"))
+    if at_step is not None or has_calendar_type(df, period):
+        pace = F.broadcast(pace)  # one row, or one per distinct year or day
 
     if not aggregate:
-        def rows(part: DataFrame) -> DataFrame:
-            totals = running_total(part, entity, period, value, "rows", tie_break, rows_per_slice=rows_per_slice)
-            return totals.where(F.col("period_number") == at_step) if at_step is not None else totals
-
-        standing = rows(others)
-        if at_period is not None:
-            standing = standing.where(F.col(period) == F.lit(at_period))
-        standing, pace = standing.select(*columns), rows(df.where(is_benchmark))
+        standing = running_total(others, entity, period, value, "rows", tie_break, rows_per_slice=rows_per_slice)
+        reached = F.col("period_number") == at_step if at_period is None else F.col(period) == F.lit(at_period)
+        standing = standing.where(reached).select(entity, F.col("period_number").alias("step"), "running_total")
     elif at_period is not None:
         so_far = _per_period(others.where(F.col(period) <= F.lit(at_period)), [entity], period, value)
         standing = so_far.groupBy(entity).agg(
             F.count("*").alias("step"), F.sum(value).alias("running_total"), F.max(period).alias("_last")
         )
         standing = standing.where(F.col("_last") == F.lit(at_period)).drop("_last")
-        pace = running_total(df.where(is_benchmark), entity, period, value, rows_per_slice=rows_per_slice)
     else:
-        def first_steps(part: DataFrame) -> DataFrame:
-            w = Window.partitionBy(entity).orderBy(*(k.sort() for k in sort_keys(period)))
-            series = _per_period(part, [entity], period, value)
-            early = series.withColumn("_step", F.row_number().over(w)).where(F.col("_step") <= at_step)
-            reached = early.groupBy(entity).agg(
-                F.max("_step").cast("bigint").alias("step"), F.sum(value).alias("running_total")
-            )
-            return reached.where(F.col("step") == at_step)
-
-        standing = first_steps(others)
-        pace = first_steps(df.where(is_benchmark)).withColumnRenamed("step", "period_number")
-    pace = pace.select(F.col("period_number").alias("step"), F.col("running_total").alias("benchmark_total"))
+        standing = _first_periods(others, entity, period, value, at_step)
     return standing.join(pace, "step").where(F.col("running_total") > F.col("benchmark_total"))
 
 
+def _first_periods(df: DataFrame, entity: str, period: str, value: str, steps: int) -> DataFrame:
+    """Totals after exactly so many periods; every task keeps only an entity's first ones."""
+    w = Window.partitionBy(entity).orderBy(*(k.sort() for k in sort_keys(period)))
+    series = _per_period(df, [entity], period, value)
+    early = series.withColumn("_step", F.row_number().over(w)).where(F.col("_step") <= steps)
+    totals = early.groupBy(entity).agg(
+        F.max("_step").cast("bigint").alias("step"), F.sum(value).alias("running_total")
+    )
+    return totals.where(F.col("step") == steps)
+
+
 def centered_anomaly(
     df: DataFrame,
     entity: str | Sequence[str],

@@ -52,7 +52,8 @@ def ratio_sql(num: str, den: str, digits: int = 2, percent: bool = False) -> str
     """num / den rounded half away from zero on whole numbers, as a double; NULL where den is 0."""
     factor = 2 * (100 if percent else 1) * 10**digits
     units = f"((abs({num}) * {factor} + abs({den})) // nullif(2 * abs({den}), 0))"
-    return f"(CAST(CASE WHEN ({num} < 0) <> ({den} < 0) THEN -{units} ELSE {units} END AS DOUBLE) / {10**digits})"
+    signed = f"CASE WHEN ({num} < 0) <> ({den} < 0) THEN -{units} ELSE {units} END"
+    return f"CAST(CAST({signed} AS VARCHAR) || 'e-{digits}' AS DOUBLE)"  # as text, so rounded once only
 
 
 def big(*columns: str) -> str:
@@ -667,22 +668,22 @@ def single_status_customer_count(spark, directory):
 
 def _bookend_sql(counted: str) -> str:
     return f"""WITH {BAT},
-    firsts AS (SELECT pid, team, yr, min(yr) OVER (PARTITION BY pid) AS first_yr FROM bat),
-    lasts AS (SELECT pid, team, yr, max(yr) OVER (PARTITION BY pid) AS last_yr FROM bat),
-    several AS (SELECT pid FROM bat WHERE pid NOT IN (SELECT pid FROM bat WHERE yr = 2001) GROUP BY pid
-                HAVING count(DISTINCT yr) >= 3 AND count(DISTINCT team) > 1)
-    SELECT {big(f'{counted} AS members')}
-    FROM firsts JOIN lasts ON lasts.pid = firsts.pid AND lasts.team = firsts.team JOIN several ON several.pid = firsts.pid
-    WHERE firsts.yr = first_yr AND lasts.yr = last_yr"""
+    several AS (SELECT pid, min(yr) AS first_yr, max(yr) AS last_yr FROM bat
+                WHERE pid NOT IN (SELECT pid FROM bat WHERE yr = 2001) GROUP BY pid
+                HAVING count(DISTINCT yr) >= 3 AND count(DISTINCT team) > 1),
+    ends AS (SELECT bat.pid, team, count(CASE WHEN yr = first_yr THEN 1 END) AS firsts,
+                    count(CASE WHEN yr = last_yr THEN 1 END) AS lasts
+             FROM bat JOIN several ON several.pid = bat.pid GROUP BY bat.pid, team)
+    SELECT {big(f'{counted} AS members')} FROM ends WHERE firsts > 0 AND lasts > 0"""
 
 
-@query(_bookend_sql("count(DISTINCT firsts.pid)"))
+@query(_bookend_sql("count(DISTINCT pid)"))
 def bookend_customers(spark, directory):
     """Customers whose first and last year share a status, with others in their career."""
     return op.bookend_members(order_years(spark, directory), "pid", "team", "yr", 3, 2001)
 
 
-@query(_bookend_sql("count(*)"))
+@query(_bookend_sql("coalesce(sum(firsts * lasts), 0)"))
 def bookend_pairs(spark, directory):
     """The same counted as pairs of rows."""
     return op.bookend_members(order_years(spark, directory), "pid", "team", "yr", 3, 2001, count="rows")
@@ -805,11 +806,11 @@ def ahead_of_pace_at_step(spark, directory):
 
 @query(
     f"""WITH {BAT},
-    paced AS (SELECT pid, yr, sum(cents) OVER (PARTITION BY pid ORDER BY yr, k ROWS UNBOUNDED PRECEDING) AS running_total,
+    paced AS (SELECT pid, yr, k, sum(cents) OVER (PARTITION BY pid ORDER BY yr, k ROWS UNBOUNDED PRECEDING) AS running_total,
                      dense_rank() OVER (PARTITION BY pid ORDER BY yr) AS step FROM bat),
-    bench AS (SELECT step, running_total AS benchmark_total FROM paced WHERE pid = 1)
+    ends AS (SELECT step, max_by(running_total, k) AS benchmark_total FROM paced WHERE pid = 1 GROUP BY step)
     SELECT {big('pid', 'paced.step AS step', 'running_total', 'benchmark_total')}
-    FROM paced JOIN bench ON bench.step = paced.step
+    FROM paced JOIN ends ON ends.step = paced.step
     WHERE pid <> 1 AND running_total > benchmark_total AND yr = 2000"""
 )
 def ahead_of_pace_by_row(spark, directory):
