@@ -1,6 +1,7 @@
 from seasonframe.functions.exprs import (
     SortKey,
     as_names,
+    decimal_places,
     exact_ratio,
     guarded_corr,
     integer_ratio,
@@ -14,6 +15,7 @@ from seasonframe.functions.exprs import (
 __all__ = [
     "SortKey",
     "as_names",
+    "decimal_places",
     "exact_ratio",
     "guarded_corr",
     "integer_ratio",

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+MAX_PLACES = 6
+
 
 def as_names(columns: str | Iterable[str] | None) -> list[str]:
     """Column names as a list; a single name and None are accepted."""
@@ -31,6 +33,24 @@ def require_columns(df: DataFrame, *names: str | Iterable[str] | None) -> None:
         raise ValueError(f"columns {missing} not found; the input has {df.columns}")
 
 
+def decimal_places(df: DataFrame, *names: str) -> int:
+    """The decimal places that exact arithmetic on these columns needs.
+
+    Refuses binary fractions: their sums depend on the order of the rows, so they must be
+    cast to a decimal of the caller's choice first.
+    """
+    places = 0
+    for name in names:
+        kind = df.schema[name].dataType
+        if isinstance(kind, T.DecimalType) and kind.scale <= MAX_PLACES:
+            places = max(places, kind.scale)
+        elif not isinstance(kind, T.IntegralType):
+            raise ValueError(
+                f"{name!r} is {kind.simpleString()}; cast it to a whole number or a decimal of at most {MAX_PLACES} places"
+            )
+    return places
+
+
 @dataclass(frozen=True)
 class SortKey:
     """A sort column with explicit direction and null position.

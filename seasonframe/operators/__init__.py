@@ -1,4 +1,4 @@
-from seasonframe.operators.bins import bucket_agg, spine_ratio
+from seasonframe.operators.bins import bucket_agg, period_bins, spine_ratio
 from seasonframe.operators.cohorts import (
     bookend_members,
     cohort,
@@ -47,6 +47,7 @@ __all__ = [
     "over_neighbours",
     "pace_vs_benchmark",
     "peak_in_period",
+    "period_bins",
     "prefix_sums",
     "rank_tally",
     "rankings",

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonframe.functions import exact_ratio, integer_ratio, require_columns
+from seasonframe.functions import decimal_places, exact_ratio, integer_ratio, require_columns
 
 BROADCAST_BINS = 100_000
 
@@ -33,6 +33,18 @@ def bucket_agg(
     return rows.groupBy(case.otherwise(F.lit(default)).alias(label)).agg(*aggs)
 
 
+def period_bins(spark: SparkSession, start: int, stop: int, width: int) -> DataFrame:
+    """Bins ``[begin, end]`` of equal width from ``start``; ``stop`` lies past the last begin.
+
+    One generator gives the begin and arithmetic the end, so the two stay in step.
+    """
+    if width < 1 or stop <= start:
+        raise ValueError("need width >= 1 and stop > start")
+    return spark.range(start, stop, width).select(
+        F.col("id").alias("begin"), (F.col("id") + (width - 1)).alias("end")
+    )
+
+
 def spine_ratio(
     df: DataFrame,
     on: str,
@@ -52,9 +64,8 @@ def spine_ratio(
     and not a range join. The divided denominator is cut to a whole number.
     """
     require_columns(df, on, num, den)
-    if width < 1 or stop <= start:
-        raise ValueError("need width >= 1 and stop > start")
-    bins = df.sparkSession.range(start, stop, width).select(F.col("id").alias("begin"))
+    scale = decimal_places(df, num, den)
+    bins = period_bins(df.sparkSession, start, stop, width)
     n_bins = -(-(stop - start) // width)
     end = start + n_bins * width
     begin = F.call_function("div", F.col(on) - start, F.lit(width)) * width + start
@@ -68,6 +79,6 @@ def spine_ratio(
     share = integer_ratio(F.col("_den"), F.lit(den_divisor)) if den_divisor != 1 else F.col("_den")
     return bins.join(totals, "begin", "left").select(
         "begin",
-        (F.col("begin") + (width - 1)).alias("end"),
-        exact_ratio(F.col("_num"), share, digits).alias(ratio),
+        "end",
+        exact_ratio(F.col("_num"), share, digits, scale=scale).alias(ratio),
     )

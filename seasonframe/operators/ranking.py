@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from seasonframe.functions import SortKey, as_names, exact_ratio, join_on_same, require_columns, sort_keys
 from seasonframe.operators.ordered import ROWS_PER_SLICE, rank_rows
 
+BROADCAST_ROWS = 100_000
+
 
 def extreme_row(
     df: DataFrame,
@@ -44,6 +46,8 @@ def extreme_row(
         raise ValueError("ties must be 'all' or 'one'")
     # A row ranks in the first n exactly when its value is among the first n values.
     best = rows.select(order_by).orderBy(key.sort()).limit(n).distinct()
+    if n <= BROADCAST_ROWS:
+        best = F.broadcast(best)
     return join_on_same(rows, best, [order_by], "left_semi")
 
 
@@ -156,7 +160,7 @@ def rank_tally(
     level = list(dict.fromkeys([*group, *columns]))
     counted = df.groupBy(*dict.fromkeys([*level, *names])).agg(F.count("*").alias("_rows"))
     w = Window.partitionBy(*group).orderBy(*(k.sort() for k in sorts))
-    levels = df.groupBy(*level).agg(F.count("*").alias("_peers"))
+    levels = counted.groupBy(*level).agg(F.sum("_rows").alias("_peers"))
     first = levels.withColumn("_level", F.row_number().over(w)).where(F.col("_level") <= target_rank)
     ahead = F.coalesce(F.sum("_peers").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     at_rank = first.withColumn("_ahead", ahead).where(F.col("_ahead") + 1 == target_rank)

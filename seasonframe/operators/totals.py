@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seasonframe.functions import as_names, exact_ratio, integer_ratio, left_join_many, require_columns
+from seasonframe.functions import as_names, decimal_places, exact_ratio, integer_ratio, left_join_many, require_columns
 
 
 def entity_totals(
@@ -57,6 +57,7 @@ def success_rate(
     """
     names = as_names(keys)
     require_columns(df, hit, miss, names)
+    scale = decimal_places(df, hit, miss)
     rows = df if where is None else df.where(where)
     if names:
         rows = rows.groupBy(*names).agg(F.sum(hit).alias(hit), F.sum(miss).alias(miss))
@@ -64,7 +65,7 @@ def success_rate(
     return rows.where(attempts >= min_attempts).select(
         "*",
         attempts.alias("attempts"),
-        exact_ratio(F.col(hit), attempts, digits, percent=True).alias("success_percent"),
+        exact_ratio(F.col(hit), attempts, digits, percent=True, scale=scale).alias("success_percent"),
     )
 
 
@@ -78,13 +79,11 @@ def unit_cost(
     qualify_min,
     qualify: str = "total",
     digits: int = 2,
-    scale: int = 2,
 ) -> DataFrame:
     """Cost per unit of output for keys with enough of ``qualify_col``.
 
     ``qualify="total"`` tests the sum over the key's rows, ``"row"`` each row before the
     output is summed. Keys without cost keep NULL; an output of 0 gives a NULL unit cost.
-    ``scale`` is the number of decimal places in the cost and output columns.
     """
     require_columns(cost, key, cost_col)
     require_columns(output, key, out_col, qualify_col)
@@ -95,6 +94,7 @@ def unit_cost(
         made = made.where(F.col("_qualifier") >= qualify_min).drop("_qualifier")
     else:
         raise ValueError("qualify must be 'total' or 'row'")
+    scale = max(decimal_places(cost, cost_col), decimal_places(output, out_col))
     spent = cost.groupBy(key).agg(F.sum(cost_col).alias("total_cost"))
     return made.join(spent, key, "left").select(
         key,
@@ -162,10 +162,11 @@ def grouped_totals(
     totals = df.groupBy(*names).agg(*(F.sum(c).alias(n) for n, c in sums.items()))
     if per is None:
         return totals
+    scale = decimal_places(df, *sums.values())
 
     def average(name: str) -> Column:
         if integer_per:
             return integer_ratio(F.col(name), F.col(per))
-        return exact_ratio(F.col(name), F.col(per), digits)
+        return exact_ratio(F.col(name), F.col(per), digits, scale=scale)
 
     return totals.select("*", *(average(n).alias(f"{n}_per_{per}") for n in sums if n != per))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seasonframe.functions import as_names, exact_ratio, join_on_same, require_columns, sort_keys
+from seasonframe.functions import as_names, decimal_places, exact_ratio, join_on_same, require_columns, sort_keys
 from seasonframe.operators.ordered import (
     ROWS_PER_SLICE,
     add_ranks,
@@ -45,7 +45,6 @@ def next_period_change(
     require_adjacent: bool = True,
     summary: bool = False,
     digits: int = 0,
-    scale: int = 0,
     keep: str | Sequence[str] = (),
     rows_per_slice: int | None = ROWS_PER_SLICE,
 ) -> DataFrame:
@@ -55,7 +54,7 @@ def next_period_change(
     the next row is known, so the next row itself need not match. ``require_adjacent``
     accepts the next row only when its period is the following one. ``summary`` returns
     the average change of each value instead, rounded to ``digits``; rows without a next
-    row do not count. ``scale`` is the number of decimal places in the values.
+    row do not count.
     """
     group, columns, kept = as_names(entity), as_names(values), as_names(keep)
     require_columns(df, group, period, columns, kept)
@@ -75,6 +74,7 @@ def next_period_change(
         rows = rows.withColumns({n: F.when(adjacent, F.col(n)) for n in nexts})
     changes = {f"{c}_change": F.col(f"next_{c}") - F.col(c) for c in columns}
     if summary:
+        scale = decimal_places(df, *columns)
         parts = [e for n, c in changes.items() for e in (F.sum(c).alias(f"_s_{n}"), F.count(c).alias(f"_n_{n}"))]
         means = [exact_ratio(F.col(f"_s_{n}"), F.col(f"_n_{n}"), digits, scale=scale) for n in changes]
         return rows.agg(*parts).select(*(m.alias(f"avg_{n}") for n, m in zip(changes, means)))
@@ -191,7 +191,6 @@ def centered_anomaly(
     after: int = 2,
     mode: str = "range",
     digits: int = 4,
-    scale: int = 0,
     rows_per_slice: int | None = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Each period's total, the mean of the window around it, and the signed and absolute gap.
@@ -203,6 +202,7 @@ def centered_anomaly(
     require_columns(df, group, period, value)
     series = _per_period(df, group, period, value)
     slice_rows = series_slice_rows(series, period, rows_per_slice)
+    scale = decimal_places(df, value)
 
     def stats(frame: WindowSpec) -> dict[str, Column]:
         return {"_sum": F.sum(value).over(frame), "_n": F.count(value).over(frame)}
@@ -310,7 +310,6 @@ def before_after(
     post: tuple[int, int] = (1, 3),
     mode: str = "range",
     digits: int = 4,
-    scale: int = 0,
     rows_per_slice: int | None = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Mean of the ``pre`` periods before an event against periods ``post[0]..post[1]`` after it.
@@ -324,6 +323,7 @@ def before_after(
     low, high = post
     if pre < 1 or not 0 <= low <= high:
         raise ValueError("need pre >= 1 and 0 <= post[0] <= post[1]")
+    scale = decimal_places(df, value)
     marked = df.select(*group, period, value, event.alias("_event"))
 
     def stretches(frames: dict[str, WindowSpec]) -> dict[str, Column]:

@@ -201,7 +201,7 @@ def _unit_cost(spark: SparkSession, directory: str, minimum: int, qualify: str)
         "l_suppkey", "l_discount", cents("l_extendedprice").alias("cents"), F.col("l_quantity").cast("bigint").alias("qty")
     )
     return op.unit_cost(
-        shipped.where("l_discount > 0.095D"), shipped, "l_suppkey", "cents", "qty", "qty", minimum, qualify, scale=0
+        shipped.where("l_discount > 0.095D"), shipped, "l_suppkey", "cents", "qty", "qty", minimum, qualify
     )
 
 

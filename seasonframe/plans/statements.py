@@ -537,7 +537,7 @@ def manager_effect(t: Tables) -> DataFrame:
         starts.select("teamid", "yearid", "playerid"), ["teamid", "yearid"], "left"
     )
     effect = op.before_after(
-        series, "teamid", "yearid", F.col("playerid").isNotNull(), "win_percent", pre=3, post=(1, 3), scale=4
+        series, "teamid", "yearid", F.col("playerid").isNotNull(), "win_percent", pre=3, post=(1, 3)
     )
     shown = effect.join(starts.select("teamid", "yearid", "playerid"), ["teamid", "yearid"]).join(_names(t), "playerid")
     return _sorted(

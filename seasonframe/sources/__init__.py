@@ -3,7 +3,17 @@ from seasonframe.sources.tables import (
     SEASON_SCHEMAS,
     read_driver_table,
     read_season_tables,
+    register_views,
     season_table,
+    season_tables_from_catalog,
 )
 
-__all__ = ["DRIVER_SCHEMAS", "SEASON_SCHEMAS", "read_driver_table", "read_season_tables", "season_table"]
+__all__ = [
+    "DRIVER_SCHEMAS",
+    "SEASON_SCHEMAS",
+    "read_driver_table",
+    "read_season_tables",
+    "register_views",
+    "season_table",
+    "season_tables_from_catalog",
+]

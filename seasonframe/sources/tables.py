@@ -66,3 +66,15 @@ def read_season_tables(spark: SparkSession, directory: str, fmt: str = "parquet"
         name: season_table(name, spark.read.schema(ddl).format(fmt).options(**options).load(f"{directory}/{name}.{fmt}"))
         for name, ddl in SEASON_SCHEMAS.items()
     }
+
+
+def season_tables_from_catalog(spark: SparkSession, database: str | None = None) -> dict[str, DataFrame]:
+    """All season tables by name from the session's catalogue."""
+    prefix = f"{database}." if database else ""
+    return {name: season_table(name, spark.table(f"{prefix}{name}")) for name in SEASON_SCHEMAS}
+
+
+def register_views(tables: dict[str, DataFrame]) -> None:
+    """Make tables available to ``spark.sql`` under their names, for the session."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)

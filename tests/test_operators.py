@@ -46,6 +46,14 @@ def test_exact_ratio_of_decimals(spark):
     assert rows(df.select(exact_ratio(F.col("n"), F.col("d"), 2, scale=2))) == [(dec("-5.03"),), (dec("5.03"),)]
 
 
+def test_binary_fractions_are_refused(spark):
+    df = spark.createDataFrame([("e", 1, 0.5)], "e string, p int, v double")
+    with pytest.raises(ValueError, match="double"):
+        op.centered_anomaly(df, "e", "p", "v")
+    exact = df.withColumn("v", F.col("v").cast("decimal(9,2)"))
+    assert rows(op.centered_anomaly(exact, "e", "p", "v"), "window_mean") == [(dec("0.5000"),)]
+
+
 def test_row_differs_is_three_valued(spark):
     names = [("Barry", "Bonds"), (None, "Bonds"), ("Barry", None), (None, "X"), ("Al", "Bonds"), (None, None)]
     df = spark.createDataFrame(names, "f string, l string")
@@ -239,10 +247,19 @@ def test_bad_modes_are_refused(spark):
 
 
 def test_season_tables_are_read_with_declared_types(spark, tmp_path):
-    from seasonframe.sources import SEASON_SCHEMAS, read_season_tables
+    from seasonframe.sources import SEASON_SCHEMAS, read_season_tables, register_views, season_tables_from_catalog
 
     for name, ddl in SEASON_SCHEMAS.items():
         spark.createDataFrame([], ddl).write.parquet(f"{tmp_path}/{name}.parquet")
     tables = read_season_tables(spark, str(tmp_path))
     assert set(tables) == set(SEASON_SCHEMAS)
     assert tables["salaries"].schema["salary"].dataType.simpleString() == "decimal(19,2)"
+
+    register_views(tables)
+    named = season_tables_from_catalog(spark)
+    assert {n: t.schema for n, t in named.items()} == {n: t.schema for n, t in tables.items()}
+
+
+def test_period_bins_stay_in_step(spark):
+    assert rows(op.period_bins(spark, 1920, 2011, 10))[:2] == [(1920, 1929), (1930, 1939)]
+    assert op.period_bins(spark, 1920, 2011, 10).count() == 10
