@@ -158,11 +158,11 @@ def rank_tally(
     if target_rank < 1:
         raise ValueError("target_rank must be at least 1")
     level = list(dict.fromkeys([*group, *columns]))
-    counted = df.groupBy(*dict.fromkeys([*level, *names])).agg(F.count("*").alias("_rows"))
     w = Window.partitionBy(*group).orderBy(*(k.sort() for k in sorts))
-    levels = counted.groupBy(*level).agg(F.sum("_rows").alias("_peers"))
+    levels = df.groupBy(*level).agg(F.count("*").alias("_peers"))
     first = levels.withColumn("_level", F.row_number().over(w)).where(F.col("_level") <= target_rank)
     ahead = F.coalesce(F.sum("_peers").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     at_rank = first.withColumn("_ahead", ahead).where(F.col("_ahead") + 1 == target_rank)
-    held = join_on_same(counted, at_rank, level, "left_semi")
-    return held.groupBy(*names).agg(F.sum("_rows").alias(tally))
+    rows = df.select(*dict.fromkeys([*level, *names]))
+    held = join_on_same(rows, at_rank.select(*level), level, "left_semi")
+    return held.groupBy(*names).agg(F.count("*").alias(tally))
