@@ -28,6 +28,7 @@ ROWS_PER_SLICE = 1_000_000
 MAX_SLICES = 10_000
 SAMPLES_PER_SLICE = 20
 PERIODS_PER_BLOCK = 100_000
+GROUP_LIMIT = 1_000  # largest "first k per group" that Spark applies before the shuffle
 
 _SLICE = "__slice"
 _INDEX = "__index"

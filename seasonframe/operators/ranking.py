@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seasonframe.functions import SortKey, as_names, exact_ratio, join_on_same, require_columns, sort_keys
-from seasonframe.operators.ordered import ROWS_PER_SLICE, rank_rows
+from seasonframe.operators.ordered import GROUP_LIMIT, ROWS_PER_SLICE, prefix_sums, rank_rows
 
 BROADCAST_ROWS = 100_000
 
@@ -150,7 +150,8 @@ def rank_tally(
 
     Rows are counted per distinct sort value, of which only the first ``target_rank`` per
     partition can hold the rank. The limit on the row number is applied by every task
-    before the shuffle, so a large partition is never gathered.
+    before the shuffle, so a large partition is never gathered. Spark does so for ranks up
+    to GROUP_LIMIT; beyond, large partitions are cut.
     """
     group, sorts, names = as_names(partition_by), sort_keys(order_by), as_names(keys)
     columns = [k.name for k in sorts]
@@ -160,9 +161,12 @@ def rank_tally(
     level = list(dict.fromkeys([*group, *columns]))
     w = Window.partitionBy(*group).orderBy(*(k.sort() for k in sorts))
     levels = df.groupBy(*level).agg(F.count("*").alias("_peers"))
-    first = levels.withColumn("_level", F.row_number().over(w)).where(F.col("_level") <= target_rank)
-    ahead = F.coalesce(F.sum("_peers").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    at_rank = first.withColumn("_ahead", ahead).where(F.col("_ahead") + 1 == target_rank)
+    if target_rank <= GROUP_LIMIT:
+        levels = levels.withColumn("_level", F.row_number().over(w)).where(F.col("_level") <= target_rank)
+        through = levels.withColumn("_through", F.sum("_peers").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    else:
+        through = prefix_sums(levels, group, sorts, {"_through": F.col("_peers")})
+    at_rank = through.where(F.col("_through") - F.col("_peers") + 1 == target_rank)
     rows = df.select(*dict.fromkeys([*level, *names]))
     held = join_on_same(rows, at_rank.select(*level), level, "left_semi")
     return held.groupBy(*names).agg(F.count("*").alias(tally))

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from seasonframe.functions import as_names, decimal_places, exact_ratio, join_on_same, require_columns, sort_keys
 from seasonframe.operators.ordered import (
+    GROUP_LIMIT,
     ROWS_PER_SLICE,
     add_ranks,
     has_calendar_type,
@@ -151,7 +152,7 @@ def pace_vs_benchmark(
         pace = running_total(df.where(is_benchmark), entity, period, value, rows_per_slice=rows_per_slice)
         pace = pace.withColumnRenamed("period_number", "step")
     else:
-        pace = _first_periods(df.where(is_benchmark), entity, period, value, at_step)
+        pace = _first_periods(df.where(is_benchmark), entity, period, value, at_step, rows_per_slice)
     pace = pace.select("step", F.col("running_total").alias("benchmark_total"))
     if at_step is not None or has_calendar_type(df, period):
         pace = F.broadcast(pace)  # one row, or one per distinct year or day
@@ -167,12 +168,18 @@ def pace_vs_benchmark(
         )
         standing = standing.where(F.col("_last") == F.lit(at_period)).drop("_last")
     else:
-        standing = _first_periods(others, entity, period, value, at_step)
+        standing = _first_periods(others, entity, period, value, at_step, rows_per_slice)
     return standing.join(pace, "step").where(F.col("running_total") > F.col("benchmark_total"))
 
 
-def _first_periods(df: DataFrame, entity: str, period: str, value: str, steps: int) -> DataFrame:
+def _first_periods(
+    df: DataFrame, entity: str, period: str, value: str, steps: int, rows_per_slice: int | None
+) -> DataFrame:
     """Totals after exactly so many periods; every task keeps only an entity's first ones."""
+    if steps > GROUP_LIMIT:
+        totals = running_total(df, entity, period, value, rows_per_slice=rows_per_slice)
+        totals = totals.withColumnRenamed("period_number", "step")
+        return totals.where(F.col("step") == steps).select(entity, "step", "running_total")
     w = Window.partitionBy(entity).orderBy(*(k.sort() for k in sort_keys(period)))
     series = _per_period(df, [entity], period, value)
     early = series.withColumn("_step", F.row_number().over(w)).where(F.col("_step") <= steps)

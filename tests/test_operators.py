@@ -124,6 +124,13 @@ def test_rank_tally_counts_rows_before_the_rank(spark):
     assert tally(3) == [("c", 1), ("d", 1)] and tally(5) == [("e", 1)]
 
 
+def test_ranks_and_steps_beyond_the_group_limit(spark):
+    df = spark.range(1500).selectExpr("'g' AS g", "id AS k", "id AS v", "1 AS one")
+    assert rows(op.rank_tally(df, "g", "v", "k", 1200)) == [(1199, 1)]
+    rows_ = df.unionByName(spark.range(1500).selectExpr("'h' AS g", "id AS k", "id AS v", "2 AS one"))
+    assert rows(op.pace_vs_benchmark(rows_, "g", "v", "one", "g", at_step=1200)) == [(1200, "h", 2400, 1200)]
+
+
 def test_rank_tally_limits_before_the_shuffle(spark):
     df = spark.range(1000).selectExpr("id % 3 AS g", "id AS k", "id AS v")
     plan = op.rank_tally(df, "g", "v", "k", 2)._jdf.queryExecution().executedPlan().toString()

@@ -87,6 +87,25 @@ def test_distance_blocks_equal_plain(spark):
     same(over_distance(df, ["e"], "p", columns, 3, 2, 7), expected)
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(12,3)", "date", "timestamp", "timestamp_ntz", "string", "boolean", "bigint"])
+def test_sort_columns_of_every_type(spark, kind):
+    numbers = F.when(F.col("id") % 11 == 0, None).otherwise((F.col("id") * 7919) % 101)
+    value = {
+        "double": F.when(F.col("id") % 13 == 0, F.lit(float("nan"))).otherwise(numbers / 7),
+        "date": F.date_add(F.lit("1999-12-25").cast("date"), numbers.cast("int")),
+        "timestamp": F.timestamp_seconds(numbers * 1000).cast("timestamp"),
+        "timestamp_ntz": F.timestamp_seconds(numbers * 1000).cast("timestamp_ntz"),
+        "string": F.concat(F.chr(numbers + 70), F.lit("é")),
+        "boolean": numbers > 50,
+        "bigint": numbers + (1 << 60),
+    }.get(kind, numbers.cast(kind))
+    df = spark.range(600).select("id", value.alias("v"), (F.col("id") % 3 == 0).alias("g"))
+    for direction in ("asc", "desc"):
+        order = [("v", direction), "id"]
+        cut = prefix_sums(df, ["g"], order, {"n": F.lit(1)}, 30)
+        same(cut, prefix_sums(df, ["g"], order, {"n": F.lit(1)}, None))
+
+
 def test_small_input_is_not_cut(skewed):
     assert find_slices(skewed, ["g"], sort_keys(["v", "id"]), 3000) is None
 
