@@ -13,7 +13,9 @@ def spark():
     session = (
         SparkSession.builder.master("local[4]")
         .appName("seasonframe-tests")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "3")
+        # The tables are tiny, so compiling a stage costs more than running it.
+        .config("spark.sql.codegen.wholeStage", os.environ.get("TEST_CODEGEN", "false"))
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")

@@ -1,6 +1,8 @@
 from decimal import Decimal
 
+import pyarrow as pa
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from seasonframe.sources import SEASON_SCHEMAS, season_table
 
@@ -8,8 +10,8 @@ from seasonframe.sources import SEASON_SCHEMAS, season_table
 def make(spark, table, rows):
     """A season table from dicts; absent columns are NULL."""
     schema = T.StructType.fromDDL(SEASON_SCHEMAS[table])
-    df = spark.createDataFrame([tuple(r.get(f.name) for f in schema) for r in rows], schema)
-    return season_table(table, df)
+    columns = {f.name: pa.array([r.get(f.name) for r in rows], to_arrow_type(f.dataType)) for f in schema}
+    return season_table(table, spark.createDataFrame(pa.table(columns)))
 
 
 def rows(df, *columns):
