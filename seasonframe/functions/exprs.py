@@ -46,7 +46,8 @@ def decimal_places(df: DataFrame, *names: str) -> int:
             places = max(places, kind.scale)
         elif not isinstance(kind, T.IntegralType):
             raise ValueError(
-                f"{name!r} is {kind.simpleString()}; cast it to a whole number or a decimal of at most {MAX_PLACES} places"
+                f"{name!r} is {kind.simpleString()}; cast it to a whole number "
+                f"or a decimal of at most {MAX_PLACES} places"
             )
     return places
 

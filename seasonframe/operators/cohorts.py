@@ -63,8 +63,9 @@ def cohort_conversion(
     """How many members of a base cohort are winners, per group (NULL is a group too).
 
     ``distinct`` counts a winner once however many winning rows there are; otherwise a
-    member counts once per winning row. People have one row per key. ``how="full"`` returns the listing instead: every base member and every winner, with the ``labels``
-    of both sides and a ``won`` mark; a winner outside the base keeps NULL labels.
+    member counts once per winning row. People have one row per key.
+    ``how="full"`` returns the listing instead: every base member and every winner, with
+    the ``labels`` and a ``won`` mark; a winner outside the base keeps NULL labels.
     """
     require_columns(people, key, group, labels)
     require_columns(winners, key)
@@ -79,7 +80,8 @@ def cohort_conversion(
         else:
             # Every winning row is kept, so it must be the side that a hot key can split.
             alone = members.join(won, key, "left_anti")
-            listing = winners.select(key, mark).join(members, key, "left").unionByName(alone, allowMissingColumns=True)
+            listing = winners.select(key, mark).join(members, key, "left")
+            listing = listing.unionByName(alone, allowMissingColumns=True)
         return listing.select(key, group, *labels, F.coalesce("won", F.lit(False)).alias("won"))
     marked = members.select(key, group).join(won, key, "left")
     # Without distinct, a member counts once per winning row on both sides of the ratio.
@@ -103,7 +105,9 @@ def _outside(df: DataFrame, key: str, period: str, exclude_period, strict: bool)
 def _careers(rows: DataFrame, key: str, group: str, period: str, exclude_period) -> DataFrame:
     """Per key: first and last period, number of periods, smallest and largest group.
 
-    One distinct count only; "exactly one group" is ``low = high``, "several" is ``low <> high``.
+    ``rows`` are distinct seasons: the extremes of a text column cannot be kept in a hash
+    table, so they are taken from combined rows and not from raw ones. One distinct count
+    only; "exactly one group" is ``low = high``, "several" is ``low <> high``.
     """
     active = F.lit(False) if exclude_period is None else F.col(period) == F.lit(exclude_period)
     careers = rows.groupBy(key).agg(
@@ -132,7 +136,8 @@ def single_group_members(
     NOT IN: one excluded row with a NULL key empties the result.
     """
     require_columns(df, key, group, period)
-    careers = _careers(_outside(df, key, period, exclude_period, strict), key, group, period, exclude_period)
+    seasons = _outside(df, key, period, exclude_period, strict).select(key, group, period).distinct()
+    careers = _careers(seasons, key, group, period, exclude_period)
     kept = careers.where((F.col("_low") == F.col("_high")) & (F.col("periods") >= min_periods))
     return kept.select(key, F.col("_low").alias(group), "periods", "first_period", "last_period")
 

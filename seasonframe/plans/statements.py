@@ -217,7 +217,8 @@ def wins_and_salaries(t: Tables) -> DataFrame:
     """Per year since 2000: correlation of wins and payroll, on values and on ranks."""
     recent = F.col("yearid") >= 2000
     payroll = t["salaries"].where(recent).groupBy("teamid", "yearid").agg(F.sum("salary").alias("team_salary"))
-    rows = payroll.join(t["teams"].where(recent).select("teamid", "yearid", F.col("w").alias("wins"), "g"), ["teamid", "yearid"])
+    seasons = t["teams"].where(recent).select("teamid", "yearid", F.col("w").alias("wins"), "g")
+    rows = payroll.join(seasons, ["teamid", "yearid"])
     rows = rows.withColumn("percent_wins", exact_ratio(F.col("wins"), F.col("g"), 2, percent=True))
     rows = op.add_ranks(rows, ["yearid"], ("wins", "desc"), None, "win_rank")
     rows = op.add_ranks(rows, ["yearid"], ("team_salary", "desc"), None, "salary_rank")
@@ -541,6 +542,8 @@ def manager_effect(t: Tables) -> DataFrame:
     )
     shown = effect.join(starts.select("teamid", "yearid", "playerid"), ["teamid", "yearid"]).join(_names(t), "playerid")
     return _sorted(
-        shown.select(_full_name(), "teamid", F.col("yearid").alias("first_full_season"), "pre_mean", "post_mean", "change"),
+        shown.select(
+            _full_name(), "teamid", F.col("yearid").alias("first_full_season"), "pre_mean", "post_mean", "change"
+        ),
         ("change", "desc"),
     )

@@ -60,12 +60,16 @@ def season_table(name: str, df: DataFrame) -> DataFrame:
     return table.withColumn("salary", F.col("salary").cast(MONEY)) if name == "salaries" else table
 
 
-def read_season_tables(spark: SparkSession, directory: str, fmt: str = "parquet", **options: str) -> dict[str, DataFrame]:
+def read_season_tables(
+    spark: SparkSession, directory: str, fmt: str = "parquet", **options: str
+) -> dict[str, DataFrame]:
     """All season tables of a directory, one ``<name>.<fmt>`` each, with the declared schemas."""
-    return {
-        name: season_table(name, spark.read.schema(ddl).format(fmt).options(**options).load(f"{directory}/{name}.{fmt}"))
-        for name, ddl in SEASON_SCHEMAS.items()
-    }
+
+    def read(name: str, ddl: str) -> DataFrame:
+        reader = spark.read.schema(ddl).format(fmt).options(**options)
+        return season_table(name, reader.load(f"{directory}/{name}.{fmt}"))
+
+    return {name: read(name, ddl) for name, ddl in SEASON_SCHEMAS.items()}
 
 
 def season_tables_from_catalog(spark: SparkSession, database: str | None = None) -> dict[str, DataFrame]:
