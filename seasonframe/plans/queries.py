@@ -449,6 +449,16 @@ def order_rankings_by_status(spark, directory):
     return op.rankings(rows, "o_totalprice", "o_orderstatus", "o_orderkey").drop("o_totalprice")
 
 
+@query(
+    _rankings_sql("", big("o_orderkey") + ", o_orderpriority", "ORDER BY o_orderpriority DESC NULLS FIRST", "o_orderkey")
+    + " FROM orders"
+)
+def order_priority_rankings(spark, directory):
+    """The three rankings of all orders by a column with five values."""
+    rows = read_table(spark, directory, "orders").select("o_orderkey", "o_orderpriority")
+    return op.rankings(rows, ("o_orderpriority", "desc"), tie_break="o_orderkey")
+
+
 def _tally_sql(order: str, place: int) -> str:
     return f"""WITH {TS},
     placed AS (SELECT *, rank() OVER (PARTITION BY region, yr ORDER BY {order}) AS place FROM ts)
@@ -783,6 +793,16 @@ def daily_running_events(spark, directory):
     return op.running_total(rows, None, "day", "events")
 
 
+@query(
+    f"""WITH {BAT}
+    SELECT {big('k', 'cents', 'sum(cents) OVER (ORDER BY k) AS running_total', 'row_number() OVER (ORDER BY k) AS period_number')}
+    FROM bat"""
+)
+def order_key_running_amount(spark, directory):
+    """Running amount of all orders along their keys, without an entity."""
+    return op.running_total(order_years(spark, directory), None, "k", "cents")
+
+
 _PACE = f"""WITH {BAT},
     yearly AS (SELECT pid, yr, sum(cents) AS cents FROM bat GROUP BY pid, yr),
     paced AS (SELECT pid, yr, sum(cents) OVER (PARTITION BY pid ORDER BY yr) AS running_total,
@@ -871,6 +891,16 @@ def repeated_leader_without_errors(spark, directory):
     )
 
 
+@query(
+    f"""WITH before AS (SELECT o_orderstatus, lag(o_orderstatus) OVER (ORDER BY o_orderkey) AS prior FROM orders)
+    SELECT {big('count(*) AS repeats')} FROM before WHERE o_orderstatus = prior"""
+)
+def repeated_order_status(spark, directory):
+    """How often an order has the status of the order before it, over all orders."""
+    orders = read_table(spark, directory, "orders")
+    return op.repeat_winners(orders, "o_orderkey", "o_orderstatus", require_adjacent=False)
+
+
 def _streak_sql(where: str, result: str) -> str:
     return f"""WITH {DAYS},
     active AS (SELECT DISTINCT user_id, day FROM days WHERE {where}),
