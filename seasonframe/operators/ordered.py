@@ -224,21 +224,25 @@ def _ranks_by_value(
     return join_on_same(df, ranked, group, "left")
 
 
-def rank_rows(
+def scan_rows(
     df: DataFrame,
     partition_by: Sequence[str],
     order_by,
     tie_break: Sequence[str],
+    sums: dict[str, Column],
+    ranks: dict[str, str],
     rows_per_slice: int | None = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Add row_number (in the order including ``tie_break``), rank and dense_rank."""
+    """Running sums in the order including ``tie_break``, with ranks along ``order_by`` alone.
+
+    ``ranks`` maps output names to ``"rank"`` or ``"dense_rank"``. One size check serves both.
+    """
     keys, breakers = sort_keys(order_by), sort_keys(list(tie_break))
-    outputs = {"rank": "rank", "dense_rank": "dense_rank"}
     cuts = find_slices(df, partition_by, keys + breakers, rows_per_slice)
-    numbered = _prefix_sums(df, partition_by, keys + breakers, {"row_number": F.lit(1)}, cuts)
+    summed = _prefix_sums(df, partition_by, keys + breakers, sums, cuts)
     if cuts is None:
-        return _ranks_by_window(numbered, partition_by, keys, outputs)
-    return _ranks_by_value(numbered, df, partition_by, keys, outputs, rows_per_slice)
+        return _ranks_by_window(summed, partition_by, keys, ranks)
+    return _ranks_by_value(summed, df, partition_by, keys, ranks, rows_per_slice)
 
 
 def over_neighbours(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seasonframe.functions import SortKey, as_names, exact_ratio, join_on_same, require_columns, sort_keys
-from seasonframe.operators.ordered import GROUP_LIMIT, ROWS_PER_SLICE, prefix_sums, rank_rows
+from seasonframe.operators.ordered import GROUP_LIMIT, ROWS_PER_SLICE, prefix_sums, scan_rows
 
 BROADCAST_ROWS = 100_000
 
@@ -135,7 +135,8 @@ def rankings(
     require_columns(df, group, [k.name for k in keys + breakers])
     if not breakers:
         raise ValueError("tie_break must name columns that make the order total")
-    return rank_rows(df, group, keys, [k.name for k in breakers], rows_per_slice)
+    ranks = {"rank": "rank", "dense_rank": "dense_rank"}
+    return scan_rows(df, group, keys, as_names(tie_break), {"row_number": F.lit(1)}, ranks, rows_per_slice)
 
 
 def rank_tally(

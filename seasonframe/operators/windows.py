@@ -19,11 +19,11 @@ from seasonframe.functions import as_names, decimal_places, exact_ratio, join_on
 from seasonframe.operators.ordered import (
     GROUP_LIMIT,
     ROWS_PER_SLICE,
-    add_ranks,
     has_calendar_type,
     over_distance,
     over_neighbours,
     prefix_sums,
+    scan_rows,
     series_slice_rows,
 )
 
@@ -104,8 +104,8 @@ def running_total(
     if frame == "rows":
         if not breakers:
             raise ValueError("frame='rows' needs tie_break columns that make the order total")
-        summed = prefix_sums(df, group, [period, *breakers], {"running_total": F.col(value)}, rows_per_slice)
-        return add_ranks(summed, group, period, None, "period_number", rows_per_slice)
+        sums, ranks = {"running_total": F.col(value)}, {"period_number": "dense_rank"}
+        return scan_rows(df, group, period, breakers, sums, ranks, rows_per_slice)
     if frame != "range":
         raise ValueError("frame must be 'range' or 'rows'")
     series = _per_period(df, group, period, value)
