@@ -4,16 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from seasonframe.llm.common import table
+from seasonframe.llm.embedding_dedup import near_vectors
 from seasonframe.llm.exact_dedup import exact_duplicates
+from seasonframe.llm.packing import pack_documents
 from seasonframe.llm.simhash import simhash_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+QUERIES["op3_embedding_near_dedup"] = op3_embedding_near_dedup
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -35,3 +45,11 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_simhash_near_dedup"] = op8_simhash_near_dedup
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer, capacity=1024, end_id=2)
+
+
+QUERIES["op10_best_fit_packing"] = op10_best_fit_packing
