@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from seasonframe.llm.bpe import encoding_digests
 from seasonframe.llm.common import table
 from seasonframe.llm.embedding_dedup import near_vectors
 from seasonframe.llm.exact_dedup import exact_duplicates
@@ -40,6 +41,13 @@ SQL["op6_exact_dedup"] = """
 """
 
 
+def op7_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES["op7_bpe_encoding"] = op7_bpe_encoding
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=3, most=3)
 
