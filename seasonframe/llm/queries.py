@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from seasonframe.llm.bpe import encoding_digests
 from seasonframe.llm.common import table
 from seasonframe.llm.embedding_dedup import near_vectors
 from seasonframe.llm.exact_dedup import exact_duplicates
 from seasonframe.llm.packing import pack_documents
+from seasonframe.llm.pii import KINDS, find_personal_data, joined_spans
 from seasonframe.llm.simhash import simhash_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +57,25 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op8_simhash_near_dedup"] = op8_simhash_near_dedup
 
 
+def _number_of(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    by_rule = F.filter("spans", lambda s: s["by_rule"])
+    counts = [_number_of(by_rule, kind).alias(f"n_{kind}") for kind in KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(joined_spans(by_rule), 256).alias("base_sha256"),
+        joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
+QUERIES["op9_personal_data"] = op9_personal_data
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer, capacity=1024, end_id=2)
