@@ -12,6 +12,7 @@ from seasonframe.llm.bpe import encoding_digests
 from seasonframe.llm.common import table
 from seasonframe.llm.embedding_dedup import near_vectors
 from seasonframe.llm.exact_dedup import exact_duplicates
+from seasonframe.llm.language import identify, page_evidence, train_text_model
 from seasonframe.llm.packing import pack_documents
 from seasonframe.llm.pii import KINDS, find_personal_data, joined_spans
 from seasonframe.llm.simhash import simhash_duplicates
@@ -20,6 +21,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = train_text_model(table(spark, sf_dir, "documents"))
+    return identify(page_evidence(table(spark, sf_dir, "pages")), model, "page_id")
+
+
+QUERIES["op1_language_id"] = op1_language_id
+
+
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
 
