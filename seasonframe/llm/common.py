@@ -20,13 +20,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the session names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate data that all executors share, as the session names it.
 
-    Only where no folder is set (tests on one machine) a temporary one is made; on a cluster that
-    would lose data with a machine, so it is refused there.
+    Only where none is set (tests on one machine) a temporary one is made; on a cluster that would
+    lose data with a machine, so it is refused there.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir")
         if folder is None:
@@ -34,9 +34,30 @@ def cut(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+#: Ids up to which a table of them is broadcast: about 16 bytes each.
+BROADCAST_IDS = 200_000
+
+
+def without(rows: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """The rows whose id is not among ``ids`` (one column of that name; null ids are compared too).
+
+    Few ids, by count, are broadcast, so that the rows stay where they are; more are joined by a shuffle.
+    """
+    gone = ids.select(F.col(id_col).alias("_gone")).distinct()
+    if ids.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return rows.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+
+
 def whole_text(text: Column) -> Column:
     """The text, with null counted as empty."""
     return F.coalesce(text.cast("string"), F.lit(""))
