@@ -12,6 +12,7 @@ from seasonframe.llm.bpe import encoding_digests
 from seasonframe.llm.common import table
 from seasonframe.llm.embedding_dedup import near_vectors
 from seasonframe.llm.exact_dedup import exact_duplicates
+from seasonframe.llm.html_text import extract_text
 from seasonframe.llm.language import identify, page_evidence, train_text_model
 from seasonframe.llm.packing import pack_documents
 from seasonframe.llm.pii import KINDS, find_personal_data, joined_spans
@@ -36,6 +37,13 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op3_embedding_near_dedup"] = op3_embedding_near_dedup
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+QUERIES["op5_html_extraction"] = op5_html_extraction
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
