@@ -16,6 +16,7 @@ from seasonframe.llm.html_text import extract_text
 from seasonframe.llm.language import identify, page_evidence, train_text_model
 from seasonframe.llm.packing import pack_documents
 from seasonframe.llm.pii import KINDS, find_personal_data, joined_spans
+from seasonframe.llm.quotes import reply_ordered
 from seasonframe.llm.simhash import simhash_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +38,13 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op3_embedding_near_dedup"] = op3_embedding_near_dedup
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reply_ordered(table(spark, sf_dir, "conversations"))
+
+
+QUERIES["op4_chat_formatting"] = op4_chat_formatting
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
