@@ -18,6 +18,7 @@ from seasonframe.llm.packing import pack_documents
 from seasonframe.llm.pii import KINDS, find_personal_data, joined_spans
 from seasonframe.llm.quotes import reply_ordered
 from seasonframe.llm.simhash import simhash_duplicates
+from seasonframe.llm.suffix_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,6 +32,19 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["op1_language_id"] = op1_language_id
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), least=400).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+QUERIES["op2_suffix_array_dedup"] = op2_suffix_array_dedup
+
+
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
 
