@@ -50,6 +50,30 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op3_embedding_near_dedup"] = op3_embedding_near_dedup
+SQL["op3_embedding_near_dedup"] = """
+    WITH RECURSIVE usable AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS v
+        FROM embeddings
+        WHERE label IS NOT NULL
+          AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ),
+    links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b
+        FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+        WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+    ),
+    reach AS (
+        SELECT vec_id AS a, vec_id AS b FROM embeddings
+        UNION
+        SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+    ),
+    least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+    degree AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM least LEFT JOIN degree USING (vec_id)
+"""
 
 
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +91,7 @@ QUERIES["op5_html_extraction"] = op5_html_extraction
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
+    return exact_duplicates(table(spark, sf_dir, "documents"), keep="largest").drop("n_chunks")
 
 
 QUERIES["op6_exact_dedup"] = op6_exact_dedup
