@@ -7,10 +7,9 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from seasonframe.plans.queries import QUERIES, SQL
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
 
