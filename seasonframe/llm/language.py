@@ -134,24 +134,25 @@ def document_evidence(
 
 
 def _scored(evidence: DataFrame, model: TextModel) -> DataFrame:
-    """The evidence with the text's tempered log likelihoods and letters in place of the text."""
+    """The evidence with the text's tempered log likelihoods, letters and best language in place of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores, letters = [], []
+            scores, letters, votes = [], [], []
             for text in batch.column("_text"):
                 score, n = model.score(text.as_py())
                 scores.append(TEXT_WEIGHT * (score - score.max()))
                 letters.append(n)
+                votes.append(int(score.argmax()) if n else None)
             lists = pa.array(scores, pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("_id", "_declared", "_address", "_host")), lists, pa.array(letters, pa.int64())],
-                names=["_id", "_declared", "_address", "_host", "_score", "_letters"],
+                [*(batch.column(c) for c in ("_id", "_declared", "_address", "_host")), lists, pa.array(letters, pa.int64()), pa.array(votes, pa.int32())],
+                names=["_id", "_declared", "_address", "_host", "_score", "_letters", "_vote"],
             )
 
     kind = evidence.schema["_id"].dataType.simpleString()
     return evidence.mapInArrow(
-        run, f"_id {kind}, _declared string, _address string, _host string, _score array<double>, _letters long"
+        run, f"_id {kind}, _declared string, _address string, _host string, _score array<double>, _letters long, _vote int"
     )
 
 
@@ -205,8 +206,7 @@ def identify(evidence: DataFrame, model: TextModel, id_col: str, *, min_confiden
             F.col("_declared").alias("declared_language"), F.col("_address").alias("address_language"), F.col("_host").alias("host"),
             F.lit(0).cast("long").alias("letters"), F.lit(False).alias("accepted"),
         )
-    best = F.array_position("_score", F.array_max("_score")).cast("int") - 1
-    scored = cut(_scored(evidence, model).withColumn("_vote", F.when(F.col("_letters") > 0, best)))
+    scored = cut(_scored(evidence, model))
     declared, address = (_reliability(scored, c, languages) for c in ("_declared", "_address"))
 
     whole = scored.agg(*_votes(size)).first()
@@ -238,16 +238,18 @@ def identify(evidence: DataFrame, model: TextModel, id_col: str, *, min_confiden
     rows = rows.withColumn(
         "_log", F.array(*[text[i] + F.log(prior[i]) + F.col("_says")[i] + F.col("_where")[i] for i in range(size)])
     )
-    rows = rows.withColumn("_top", F.array_max("_log"))
+    # the largest with its place, the first of equals
+    placed = F.transform("_log", lambda x, i: F.struct(x.alias("log"), (-i).alias("place")))
+    rows = rows.withColumn("_top", F.array_max(placed))
     rows = rows.withColumn(
-        "confidence", 1.0 / F.aggregate("_log", F.lit(0.0), lambda total, x: total + F.exp(x - F.col("_top")))
+        "confidence", 1.0 / F.aggregate("_log", F.lit(0.0), lambda total, x: total + F.exp(x - F.col("_top.log")))
     )
     named = _names(languages)
     return rows.select(
         F.col("_id").alias(id_col),
-        named[F.array_position("_log", F.col("_top")).cast("int") - 1].alias("language"),
+        named[-F.col("_top.place")].alias("language"),
         "confidence",
-        named[F.col("_vote")].alias("text_language"),
+        F.get(named, F.col("_vote")).alias("text_language"),
         F.when(F.col("_declared").isin(languages), F.col("_declared")).alias("declared_language"),
         F.when(F.col("_address").isin(languages), F.col("_address")).alias("address_language"),
         F.col("_host").alias("host"),
