@@ -17,7 +17,9 @@ MIN_BYTES = 400
 GRAM = 64
 #: Sorted contexts of a bucket, and contexts with one gram that are compared with each other.
 BUCKET_ITEMS = 20_000
-GROUP_ITEMS = 1_000
+GROUP_ITEMS = 8_192
+#: Items up to which what all pairs share is held at once.
+_SQUARE_ITEMS = 512
 #: Bytes of contexts that make a run, and of text that is hashed at a time.
 RUN_BYTES = 32 << 20
 CHUNK_BYTES = 2 << 20
@@ -244,15 +246,34 @@ def reaches(rights: list[int], lefts: list[bytes], least: int) -> tuple[np.ndarr
         return np.full(2, left), np.full(2, right)
     order = sorted(range(m), key=lefts.__getitem__)
     shared = [0] + [common_prefix(lefts[order[i - 1]], lefts[order[i]]) for i in range(1, m)]
-    right, left = _all_shared(np.array(rights)), _all_shared(np.array(shared))
     rank = np.empty(m, np.int64)
     rank[order] = np.arange(m)
+    if m > _SQUARE_ITEMS:
+        return _reaches_by_row(np.array(rights), np.array(shared), rank, least)
+    right, left = _all_shared(np.array(rights)), _all_shared(np.array(shared))
     left = left[rank][:, rank]
     enough = left + right >= least
     np.fill_diagonal(enough, False)
     return np.where(enough, left, 0).max(axis=1), np.where(enough, right, 0).max(axis=1)
 
 
+def _reaches_by_row(rights: np.ndarray, shared: np.ndarray, rank: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for large groups, with memory for one item's row at a time."""
+    lefts_reach, rights_reach = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
+    for i in range(len(rank)):
+        right, left = _shared_with(rights, i), _shared_with(shared, int(rank[i]))[rank]
+        enough = left + right >= least
+        if enough.any():
+            lefts_reach[i], rights_reach[i] = left[enough].max(), right[enough].max()
+    return lefts_reach, rights_reach
+
+
+def _shared_with(neighbours: np.ndarray, i: int) -> np.ndarray:
+    """What the sorted item ``i`` shares with each item, nothing with itself."""
+    before = np.minimum.accumulate(neighbours[i:0:-1])[::-1]
+    return np.concatenate([before, [0], np.minimum.accumulate(neighbours[i + 1 :])])
+
+
 def _all_shared(neighbours: np.ndarray) -> np.ndarray:
     """Shared prefixes of all pairs of sorted items, from those of neighbours."""
     m = len(neighbours)

@@ -74,7 +74,9 @@ def test_loser_tree_merges_and_knows_what_neighbours_share():
     assert [m[2] for m in merged[1:]] == [common_prefix(a, b) for a, b in zip(items, items[1:])]  # noqa: B905
 
 
-def test_reaches_equal_all_pairs():
+@pytest.mark.parametrize("square", [512, 2])
+def test_reaches_equal_all_pairs(monkeypatch, square):
+    monkeypatch.setattr("seasonframe.llm.suffix_dedup._SQUARE_ITEMS", square)
     rng = random.Random(8)
     items = sorted((bytes(rng.choice(b"ab") for _ in range(12)), bytes(rng.choice(b"ab") for _ in range(12))) for _ in range(40))
     rights = [0] + [common_prefix(items[i - 1][0], items[i][0]) for i in range(1, 40)]
