@@ -50,7 +50,7 @@ MAX_NESTING = 40
 SCOPE = frozenset("table td th caption template html".split())
 
 _TOKEN = re.compile(
-    r"<!--(?:.*?(?:--!?>|\Z))|<![^>]*>?|<\?[^>]*>?|</[A-Za-z][^>]*>?"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<![^>]*>?|<\?[^>]*>?|</[A-Za-z][^>]*>?"
     r"|<(?P<name>[A-Za-z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?P<end>>?)|(?P<text>[^<]++|<)",
     re.DOTALL,
 )
