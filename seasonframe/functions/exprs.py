@@ -94,30 +94,62 @@ def sort_keys(order_by: str | SortKey | tuple | Sequence) -> list[SortKey]:
     return [key for item in order_by for key in sort_keys(item)]
 
 
-def _is_zero_free(den: Column) -> Column:
+_WHOLE = T.DecimalType(38, 0)
+_LARGEST_BIGINT = (1 << 63) - 1
+
+
+def _zero_free(den: Column) -> Column:
     return F.nullif(den, F.lit(0))
 
 
+def _whole_quotient(num: Column, den: Column) -> Column:
+    """Quotient of decimals cut towards zero, exact up to 32 digits; ``div`` would wrap past 2^63."""
+    return ((num - num % den) / den).cast(_WHOLE)
+
+
+def _loud(result: Column, kind: T.DataType, *inputs: Column) -> Column:
+    """The result, or an error where it has none although no input is missing: never a wrong number."""
+    given = reduce(lambda a, b: a & b, [c.isNotNull() for c in inputs])
+    failed = F.raise_error(F.lit("a ratio has more digits than a decimal of 38 can hold")).cast(kind)
+    return F.when(given & result.isNull(), failed).otherwise(result)
+
+
 def integer_ratio(num: Column, den: Column) -> Column:
-    """Quotient cut towards zero; NULL where ``den`` is 0."""
-    return F.call_function("div", num, _is_zero_free(den))
+    """Quotient as a bigint, cut towards zero; NULL where ``den`` is 0, an error where it does not fit."""
+    exact = T.DecimalType(38, MAX_PLACES)
+    n, d = num.cast(exact), _zero_free(den.cast(exact))
+    quotient = _whole_quotient(n, d)
+    fits = F.abs(quotient) <= F.lit(Decimal(_LARGEST_BIGINT))
+    return _loud(F.when(fits, quotient).cast("bigint"), T.LongType(), num, d)
 
 
 def exact_ratio(num: Column, den: Column, digits: int = 2, percent: bool = False, scale: int = 0) -> Column:
     """``num / den`` as a decimal rounded half away from zero; NULL where ``den`` is 0.
 
-    Worked out on scaled integers, so a quotient that ends exactly on a half is never
+    Worked out on scaled whole numbers, so a quotient that ends exactly on a half is never
     seen through a binary fraction. ``scale`` is the number of decimal places that the
-    inputs carry (0 for whole numbers).
+    inputs carry (0 for whole numbers). A quotient of up to 30 digits is exact; where the
+    work needs more than 38 digits there is an error, never a wrapped number.
     """
-    exact = T.DecimalType(28, scale)
-    n, d = num.cast(exact), den.cast(exact)
-    factor = 2 * (100 if percent else 1) * 10**digits
-    doubled = F.abs(d)
-    units = F.call_function("div", F.abs(n) * F.lit(factor) + doubled, _is_zero_free(doubled * F.lit(2)))
+    if not 0 <= digits <= MAX_PLACES:
+        raise ValueError(f"digits must be from 0 to {MAX_PLACES}")
+    n, d = (_units(c, scale) for c in (num, den))
+    x, y = F.abs(n), _zero_free(F.abs(d))
+    factor = Decimal((100 if percent else 1) * 10**digits)
+    # the whole part first, so that only the rest, below y, is scaled up
+    rounded = _whole_quotient(x % y * F.lit(2 * factor) + y, y * F.lit(2))
+    units = (_whole_quotient(x, y) * F.lit(factor) + rounded).cast(_WHOLE)
     signed = F.when((n < 0) != (d < 0), -units).otherwise(units)
+    kind = T.DecimalType(38, digits)
     step = Decimal(1).scaleb(-digits)
-    return (signed.cast(T.DecimalType(19, 0)) * F.lit(step)).cast(T.DecimalType(20, digits))
+    return _loud((signed.cast(_WHOLE) * F.lit(step)).cast(kind), kind, num, den, y)
+
+
+def _units(value: Column, scale: int) -> Column:
+    """A number of ``scale`` places as a whole number of its smallest unit."""
+    if not scale:
+        return value.cast(_WHOLE)
+    return (value.cast(T.DecimalType(38, scale)) * F.lit(Decimal(10**scale))).cast(_WHOLE)
 
 
 def row_differs(columns: Sequence[str], values: Sequence) -> Column:

@@ -47,14 +47,15 @@ class Cuts:
         return spark.createDataFrame(self.table.select(self.partition_by)).distinct()
 
 
-def has_calendar_type(df: DataFrame, period: str) -> bool:
-    """True for year- and day-like types, whose distinct values bound a series' length."""
-    return isinstance(df.schema[period].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.DateType))
+def has_few_periods(df: DataFrame, period: str, calendar: bool = False) -> bool:
+    """True if the type bounds a series' length (dates and whole numbers of up to 16 bits), or if
+    the caller declares that the periods are of a calendar (years, months, days)."""
+    return calendar or isinstance(df.schema[period].dataType, (T.ByteType, T.ShortType, T.DateType))
 
 
-def series_slice_rows(df: DataFrame, period: str, rows_per_slice: int | None) -> int | None:
+def series_slice_rows(df: DataFrame, period: str, rows_per_slice: int | None, calendar: bool = False) -> int | None:
     """Slice size for rows that are unique per (entity, period); None means a plain window."""
-    return None if has_calendar_type(df, period) else rows_per_slice
+    return None if has_few_periods(df, period, calendar) else rows_per_slice
 
 
 def find_slices(
@@ -193,7 +194,7 @@ def add_ranks(
     keys = sort_keys(order_by)
     require_columns(df, partition_by, [k.name for k in keys])
     outputs = {name: kind for name, kind in ((rank, "rank"), (dense_rank, "dense_rank")) if name}
-    if find_slices(df, partition_by, keys, rows_per_slice) is None:
+    if rows_per_slice is None or df.count() <= rows_per_slice:
         return _ranks_by_window(df, partition_by, keys, outputs)
     return _ranks_by_value(df, df, partition_by, keys, outputs, rows_per_slice)
 
@@ -294,23 +295,23 @@ def over_distance(
     """Add window columns that reach ``before`` periods back and ``after`` ahead, by value.
 
     For whole-number periods, one row per group and period; ``columns`` uses
-    ``rangeBetween``. Year- and day-like types use the plain window. Others are cut into
-    blocks of fixed period width, which bounds the rows per block without any sampling.
+    ``rangeBetween``. Groups are cut into blocks of fixed period width, which bounds the
+    rows per block without any sampling; a block also receives copies of the rows its edge
+    frames reach. Rows without a period form a block of their own and see only each other,
+    as in a plain window.
     """
     require_columns(df, partition_by, period)
     sort = SortKey(period).sort()
-    if has_calendar_type(df, period):
-        w = Window.partitionBy(*partition_by).orderBy(sort)
-        return df.select("*", *(c.alias(n) for n, c in columns(w).items()))
     size = max(periods_per_block, before + 1, after + 1)
-    offset = F.pmod(F.col(period), F.lit(size))
-    home = F.call_function("div", F.col(period) - offset, F.lit(size))
+    value = F.col(period).cast("bigint")
+    offset = F.pmod(value, F.lit(size))
+    home = F.call_function("div", value - offset, F.lit(size))
     reached = F.array(
         home,
         F.when(offset >= size - before, home + 1),
         F.when(offset < after, home - 1),
     )
-    copies = df.withColumn(_BLOCK, F.explode(F.array_compact(reached)))
+    copies = df.withColumn(_BLOCK, F.explode_outer(F.array_compact(reached)))
     w = Window.partitionBy(*partition_by, _BLOCK).orderBy(sort)
     framed = copies.select("*", *(c.alias(n) for n, c in columns(w).items()))
-    return framed.where(F.col(_BLOCK) == home).drop(_BLOCK)
+    return framed.where(F.col(_BLOCK).eqNullSafe(home)).drop(_BLOCK)

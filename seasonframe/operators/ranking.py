@@ -65,27 +65,22 @@ def leader_overlap(
     ``denominator`` is a fixed number or ``"flagged_periods"`` (periods with any flagged
     row). ``method="rank"`` ranks NULL as the largest value, ``"max"`` ignores it.
 
-    Flags are counted per (period, value) and then reduced per period, so neither a window
-    nor a join is needed and a period with very many rows is combined map-side.
+    The period's best value is an aggregate, and only the flagged rows are then joined with
+    it, so the other rows are combined map-side and never shuffled. Rows without a period
+    are left out.
     """
     require_columns(df, period, measure)
     if method not in ("rank", "max"):
         raise ValueError("method must be 'rank' or 'max'")
-    per_value = (
-        df.where(F.col(period).isNotNull())
-        .groupBy(period, measure)
-        .agg(F.count_if(flag).alias("_flagged"))
-    )
+    rows = df.where(F.col(period).isNotNull())
     empty = F.col(measure).isNull()
-    per_period = per_value.groupBy(period).agg(
-        F.max_by("_flagged", measure).alias("_at_max"),
-        F.max(F.when(empty, F.col("_flagged"))).alias("_at_null"),
-        F.sum("_flagged").alias("_flagged"),
-    )
-    leading = F.coalesce("_at_null", "_at_max") if method == "rank" else F.col("_at_max")
-    counted = per_period.agg(
-        F.coalesce(F.sum(leading), F.lit(0)).alias("hits"),
-        F.count_if(F.col("_flagged") > 0).alias("flagged_periods"),
+    best = rows.groupBy(period).agg(F.max(measure).alias("_best"), F.bool_or(empty).alias("_any_empty"))
+    flagged = rows.where(flag).select(period, measure).join(best, period)
+    at_best = F.coalesce(F.col(measure) == F.col("_best"), F.lit(False))
+    leads = F.when(F.col("_any_empty"), empty).otherwise(at_best) if method == "rank" else at_best
+    counted = flagged.groupBy(period).agg(F.count_if(leads).alias("_hits")).agg(
+        F.coalesce(F.sum("_hits"), F.lit(0)).alias("hits"),
+        F.count(F.lit(1)).alias("flagged_periods"),
     )
     periods = F.col("flagged_periods") if denominator == "flagged_periods" else F.lit(denominator).cast("bigint")
     return counted.select(
@@ -149,7 +144,7 @@ def rank_tally(
 ) -> DataFrame:
     """How often each key holds a rank within its partition.
 
-    Rows are counted per distinct sort value, of which only the first ``target_rank`` per
+    Rows are counted once, per sort value and key. Only the first ``target_rank`` values per
     partition can hold the rank. The limit on the row number is applied by every task
     before the shuffle, so a large partition is never gathered. Spark does so for ranks up
     to GROUP_LIMIT; beyond, large partitions are cut.
@@ -161,13 +156,14 @@ def rank_tally(
         raise ValueError("target_rank must be at least 1")
     level = list(dict.fromkeys([*group, *columns]))
     w = Window.partitionBy(*group).orderBy(*(k.sort() for k in sorts))
-    levels = df.groupBy(*level).agg(F.count("*").alias("_peers"))
+    counts = df.groupBy(*dict.fromkeys([*level, *names])).agg(F.count("*").alias("_n"))
+    levels = counts.groupBy(*level).agg(F.sum("_n").alias("_peers"))
     if target_rank <= GROUP_LIMIT:
         levels = levels.withColumn("_level", F.row_number().over(w)).where(F.col("_level") <= target_rank)
         through = levels.withColumn("_through", F.sum("_peers").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     else:
         through = prefix_sums(levels, group, sorts, {"_through": F.col("_peers")})
     at_rank = through.where(F.col("_through") - F.col("_peers") + 1 == target_rank)
-    rows = df.select(*dict.fromkeys([*level, *names]))
-    held = join_on_same(rows, at_rank.select(*level), level, "left_semi")
-    return held.groupBy(*names).agg(F.count("*").alias(tally))
+    # levels are unique; a semi-join would be pushed below the counts and read the rows again
+    held = join_on_same(counts, at_rank.select(*level), level, "inner")
+    return held.groupBy(*names).agg(F.sum("_n").alias(tally))

@@ -1,16 +1,21 @@
 """Operators over an ordered series per entity.
 
 Unless a parameter says otherwise, rows are first summed to one per (entity, period).
-With a year- or day-like period type the length of a series is then bounded by the number
-of distinct periods, however many rows the entity holds, and a plain window is used. For
-any other period type, and for row-level frames, group sizes are checked and oversized
-groups are cut (see ``seasonframe.operators.ordered``).
+With dates, small whole numbers or declared calendar periods (``calendar=True``: years, months
+or days of any whole-number type) the length of a series is then bounded by the number of
+distinct periods, however many rows the entity holds, and a plain window is used. For any
+other period, and for row-level frames, group sizes are checked and oversized groups are
+cut (see ``seasonframe.operators.ordered``).
+
+Rows with a NULL period are rows of their own: they sort last in row frames, see only each
+other in range frames, and belong to no streak.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +24,7 @@ from seasonframe.functions import as_names, decimal_places, exact_ratio, join_on
 from seasonframe.operators.ordered import (
     GROUP_LIMIT,
     ROWS_PER_SLICE,
-    has_calendar_type,
+    has_few_periods,
     over_distance,
     over_neighbours,
     prefix_sums,
@@ -48,6 +53,7 @@ def next_period_change(
     digits: int = 0,
     keep: str | Sequence[str] = (),
     rows_per_slice: int | None = ROWS_PER_SLICE,
+    calendar: bool = False,
 ) -> DataFrame:
     """Each row's values, those of the entity's next row, and the differences.
 
@@ -66,7 +72,7 @@ def next_period_change(
         ahead = {"next_period": F.lead(period).over(w)}
         return ahead | {f"next_{c}": F.lead(c).over(w) for c in columns}
 
-    slice_rows = series_slice_rows(df, period, rows_per_slice)
+    slice_rows = series_slice_rows(df, period, rows_per_slice, calendar)
     framed = over_neighbours(df, group, period, following, 0, 1, slice_rows)
     rows = framed if where is None else framed.where(where)
     if require_adjacent:
@@ -92,6 +98,7 @@ def running_total(
     tie_break: str | Sequence[str] = (),
     per_row: bool = False,
     rows_per_slice: int | None = ROWS_PER_SLICE,
+    calendar: bool = False,
 ) -> DataFrame:
     """Running sum and period number (distinct periods so far) along each entity's series.
 
@@ -110,7 +117,7 @@ def running_total(
         raise ValueError("frame must be 'range' or 'rows'")
     series = _per_period(df, group, period, value)
     sums = {"running_total": F.col(value), "period_number": F.lit(1)}
-    totals = prefix_sums(series, group, period, sums, series_slice_rows(series, period, rows_per_slice))
+    totals = prefix_sums(series, group, period, sums, series_slice_rows(series, period, rows_per_slice, calendar))
     if not per_row:
         return totals
     return join_on_same(df, totals.drop(value), [*group, period], "left")
@@ -128,6 +135,7 @@ def pace_vs_benchmark(
     tie_break: str | Sequence[str] = (),
     exclude: Column | None = None,
     rows_per_slice: int | None = ROWS_PER_SLICE,
+    calendar: bool = False,
 ) -> DataFrame:
     """Entities whose running total is ahead of one entity's total at the same step.
 
@@ -149,20 +157,24 @@ def pace_vs_benchmark(
     if exclude is not None:
         others = others.where(~exclude)
     if at_period is not None:
-        pace = running_total(df.where(is_benchmark), entity, period, value, rows_per_slice=rows_per_slice)
+        pace = running_total(
+            df.where(is_benchmark), entity, period, value, rows_per_slice=rows_per_slice, calendar=calendar
+        )
         pace = pace.withColumnRenamed("period_number", "step")
     else:
         pace = _first_periods(df.where(is_benchmark), entity, period, value, at_step, rows_per_slice)
     pace = pace.select("step", F.col("running_total").alias("benchmark_total"))
-    if at_step is not None or has_calendar_type(df, period):
+    if at_step is not None or has_few_periods(df, period, calendar):
         pace = F.broadcast(pace)  # one row, or one per distinct year or day
 
+    if at_period is not None:
+        others = others.where(F.col(period) <= F.lit(at_period))  # later rows have no say
     if not aggregate:
         standing = running_total(others, entity, period, value, "rows", tie_break, rows_per_slice=rows_per_slice)
         reached = F.col("period_number") == at_step if at_period is None else F.col(period) == F.lit(at_period)
         standing = standing.where(reached).select(entity, F.col("period_number").alias("step"), "running_total")
     elif at_period is not None:
-        so_far = _per_period(others.where(F.col(period) <= F.lit(at_period)), [entity], period, value)
+        so_far = _per_period(others, [entity], period, value)
         standing = so_far.groupBy(entity).agg(
             F.count("*").alias("step"), F.sum(value).alias("running_total"), F.max(period).alias("_last")
         )
@@ -199,6 +211,7 @@ def centered_anomaly(
     mode: str = "range",
     digits: int = 4,
     rows_per_slice: int | None = ROWS_PER_SLICE,
+    calendar: bool = False,
 ) -> DataFrame:
     """Each period's total, the mean of the window around it, and the signed and absolute gap.
 
@@ -208,7 +221,7 @@ def centered_anomaly(
     group = as_names(entity)
     require_columns(df, group, period, value)
     series = _per_period(df, group, period, value)
-    slice_rows = series_slice_rows(series, period, rows_per_slice)
+    slice_rows = series_slice_rows(series, period, rows_per_slice, calendar)
     scale = decimal_places(df, value)
 
     def stats(frame: WindowSpec) -> dict[str, Column]:
@@ -273,32 +286,45 @@ def streaks(
     skip: Sequence[int] = (),
     skipped_rows: str = "drop",
     longest_only: bool = False,
+    position_by: str | Sequence[str] | None = None,
     rows_per_slice: int | None = ROWS_PER_SLICE,
+    calendar: bool = False,
 ) -> DataFrame:
     """Position of every period in its entity's run of consecutive periods.
 
     Periods in ``skip`` do not break a run for anyone. Rows that lie in a skipped period
     are dropped; with ``skipped_rows="count"`` they form a run of their own and still use
     up a position, which breaks the run they lie in. ``longest_only`` returns the length
-    of each entity's longest run.
+    of each entity's longest run. Rows without a period belong to no run and are left out.
+
+    ``position_by`` numbers the positions by other columns than the runs: a run is told apart by
+    its entity's rows, and its positions count within (``position_by``, run), which entities
+    may share. The result then has ``position_by`` as well.
     """
-    group = as_names(entity)
-    require_columns(df, group, period)
+    group, places = as_names(entity), as_names(position_by)
+    require_columns(df, group, period, places)
+    if places and longest_only:
+        raise ValueError("longest_only counts the runs of entities; leave out position_by")
     _require_whole_number(df, period)
     if skipped_rows not in ("drop", "count"):
         raise ValueError("skipped_rows must be 'drop' or 'count'")
     rows = df if where is None else df.where(where)
-    rows = rows.where(F.col(period).isNotNull()).select(*group, period).distinct()
-    skipped = sorted(set(skip))
-    in_skip = F.col(period).isin(skipped) if skipped else F.lit(False)
+    rows = rows.where(F.col(period).isNotNull()).select(*dict.fromkeys([*group, *places, period])).distinct()
+    skipped = np.array(sorted(set(skip)), dtype=np.int64)
+    in_skip = F.array_contains(F.lit(skipped), F.col(period).cast("bigint")) if len(skipped) else F.lit(False)
     if skipped_rows == "drop":
         rows = rows.where(~in_skip)
     index = F.col(period)
-    for gap in skipped:
-        index = index - F.when(F.col(period) > gap, 1).otherwise(0)
-    slice_rows = series_slice_rows(rows, period, rows_per_slice)
-    numbered = prefix_sums(rows, group, period, {"_n": F.lit(1)}, slice_rows)
+    if len(skipped):
+        index = index - F.size(F.filter(F.lit(skipped), lambda gap: gap < F.col(period)))
+    slice_rows = series_slice_rows(rows, period, rows_per_slice, calendar)
+    order = [period, *(c for c in places if c not in group)]
+    numbered = prefix_sums(rows, group, order, {"_n": F.lit(1)}, slice_rows)
     numbered = numbered.withColumn("_run", F.when(~in_skip, index - F.col("_n")))
+    if places:
+        tie_break = [c for c in group if c not in places]
+        positioned = prefix_sums(numbered, [*places, "_run"], [period, *tie_break], {"streak": F.lit(1)}, rows_per_slice)
+        return positioned.select(*dict.fromkeys([*group, *places]), period, "streak")
     run = [*group, "_run"]
     if longest_only:
         lengths = numbered.groupBy(*run).agg(F.count("*").alias("_length"))
@@ -318,6 +344,7 @@ def before_after(
     mode: str = "range",
     digits: int = 4,
     rows_per_slice: int | None = ROWS_PER_SLICE,
+    calendar: bool = False,
 ) -> DataFrame:
     """Mean of the ``pre`` periods before an event against periods ``post[0]..post[1]`` after it.
 
@@ -358,7 +385,7 @@ def before_after(
             lambda w: stretches({"pre": w.rowsBetween(-pre, -1), "post": w.rowsBetween(low, high)}),
             pre,
             high,
-            series_slice_rows(df, period, rows_per_slice),
+            series_slice_rows(df, period, rows_per_slice, calendar),
         )
     else:
         raise ValueError("mode must be 'range' or 'rows'")

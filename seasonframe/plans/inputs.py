@@ -5,6 +5,8 @@ Amounts are whole cents, so that sums are exact and do not depend on their order
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,17 +23,22 @@ def day_number(column: str) -> Column:
     return F.unix_date(F.to_date(column))
 
 
-def between_years(column: str, first: int, last: int) -> Column:
+def between_years(column: str, first: int | None = None, last: int | None = None) -> Column:
     """A range on the stored column, which the parquet reader can use; ``year(x)`` it cannot."""
-    start, end = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (first, last + 1))
-    return (F.col(column) >= start) & (F.col(column) < end)
-
-
-def order_years(spark: SparkSession, directory: str) -> DataFrame:
-    """Orders as season rows: customer, year, status, amount, unique key."""
-    return read_table(spark, directory, "orders").select(
+    bounds = []
+    if first is not None:
+        bounds.append(F.col(column) >= F.lit(f"{first}-01-01").cast("timestamp_ntz"))
+    if last is not None:
+        bounds.append(F.col(column) < F.lit(f"{last + 1}-01-01").cast("timestamp_ntz"))
+    return reduce(lambda a, b: a & b, bounds, F.lit(True))
+
+
+def order_years(spark: SparkSession, directory: str, where: Column | None = None) -> DataFrame:
+    """Orders as season rows: customer, year, status, amount, unique key; ``where`` is on the stored columns."""
+    orders = read_table(spark, directory, "orders")
+    return (orders if where is None else orders.where(where)).select(
         F.col("o_custkey").alias("pid"),
-        F.year("o_orderdate").alias("yr"),
+        F.year("o_orderdate").cast("smallint").alias("yr"),
         F.col("o_orderstatus").alias("team"),
         cents("o_totalprice").alias("cents"),
         F.col("o_orderkey").alias("k"),
@@ -42,13 +49,13 @@ def customers(spark: SparkSession, directory: str) -> DataFrame:
     return read_table(spark, directory, "customer").withColumnRenamed("c_custkey", "pid")
 
 
-def nation_years(spark: SparkSession, directory: str) -> DataFrame:
+def nation_years(spark: SparkSession, directory: str, first: int | None = None, last: int | None = None) -> DataFrame:
     """Per nation and year: orders ``w``, amount ``rev``, and ``won`` for the year's most orders.
 
     Orders are summed per customer and year before the join, so a customer with very many
     orders reaches it as one row per year. The window runs over the nations of one year.
     """
-    yearly = order_years(spark, directory).groupBy("pid", "yr").agg(
+    yearly = order_years(spark, directory, between_years("o_orderdate", first, last)).groupBy("pid", "yr").agg(
         F.count("*").alias("w"), F.sum("cents").alias("rev")
     )
     homes = customers(spark, directory).select("pid", F.col("c_nationkey").alias("teamid"))

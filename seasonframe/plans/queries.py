@@ -6,12 +6,13 @@ Each function takes (spark, directory) and returns a DataFrame over the whole ta
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasonframe import operators as op
-from seasonframe.functions import exact_ratio
+from seasonframe.functions import SortKey, exact_ratio, row_differs, sort_keys
 from seasonframe.plans.inputs import (
     between_years,
     cents,
@@ -312,7 +313,7 @@ def _extreme_sql(where: str, direction: str) -> str:
 def busiest_untitled_season(spark, directory):
     """The season with the most orders that did not win its year."""
     return op.extreme_row(
-        nation_years(spark, directory), "w", where="won = 'N' AND yr >= 1996", ties="one", tie_break=["teamid", "yr"]
+        nation_years(spark, directory, first=1996), "w", where="won = 'N'", ties="one", tie_break=["teamid", "yr"]
     )
 
 
@@ -423,7 +424,7 @@ def _rankings_sql(source: str, columns: str, window: str, unique: str) -> str:
 )
 def season_rankings(spark, directory):
     """Row number, rank and dense rank of one year's seasons."""
-    rows = nation_years(spark, directory).where("yr = 1997").select("teamid", "w")
+    rows = nation_years(spark, directory, first=1997, last=1997).select("teamid", "w")
     return op.rankings(rows, ("w", "desc"), tie_break="teamid")
 
 
@@ -790,7 +791,7 @@ def status_running_rows(spark, directory):
 def daily_running_events(spark, directory):
     """Running number of events over all days, without an entity."""
     rows = user_days(spark, directory).withColumn("events", F.lit(1))
-    return op.running_total(rows, None, "day", "events")
+    return op.running_total(rows, None, "day", "events", calendar=True)
 
 
 @query(
@@ -812,10 +813,15 @@ _PACE = f"""WITH {BAT},
     FROM paced JOIN bench ON bench.step = paced.step WHERE pid <> 1 AND running_total > benchmark_total"""
 
 
+def _orders_to_2000(spark: SparkSession, directory: str) -> DataFrame:
+    """Later orders count for the benchmark alone, which is compared step by step."""
+    return order_years(spark, directory, between_years("o_orderdate", last=2000) | (F.col("o_custkey") == 1))
+
+
 @query(f"{_PACE} AND yr = 2000")
 def ahead_of_pace_in_year(spark, directory):
     """Customers who in 2000 were ahead of customer 1 after as many years."""
-    return op.pace_vs_benchmark(order_years(spark, directory), "pid", "yr", "cents", 1, at_period=2000)
+    return op.pace_vs_benchmark(_orders_to_2000(spark, directory), "pid", "yr", "cents", 1, at_period=2000)
 
 
 @query(f"{_PACE} AND paced.step = 3")
@@ -836,7 +842,7 @@ def ahead_of_pace_at_step(spark, directory):
 def ahead_of_pace_by_row(spark, directory):
     """The comparison in 2000 on single orders, without summing a year first."""
     return op.pace_vs_benchmark(
-        order_years(spark, directory), "pid", "yr", "cents", 1, at_period=2000, aggregate=False, tie_break="k"
+        _orders_to_2000(spark, directory), "pid", "yr", "cents", 1, at_period=2000, aggregate=False, tie_break="k"
     )
 
 
@@ -915,7 +921,7 @@ _RUNS = """runs AS (SELECT user_id, day, day - row_number() OVER (PARTITION BY u
 @query(_streak_sql("event_type = 'purchase'", _RUNS) + f"SELECT {big('user_id', 'day', 'streak')} FROM placed")
 def purchase_streaks(spark, directory):
     """Runs of consecutive days with a purchase, per user."""
-    return op.streaks(user_days(spark, directory), "user_id", "day", where="event_type = 'purchase'")
+    return op.streaks(user_days(spark, directory), "user_id", "day", where="event_type = 'purchase'", calendar=True)
 
 
 @query(
@@ -925,7 +931,7 @@ def purchase_streaks(spark, directory):
 def activity_streaks(spark, directory):
     """The same for days with any of three events."""
     where = "event_type = 'purchase' OR event_type = 'click' OR event_type = 'signup'"
-    return op.streaks(user_days(spark, directory), "user_id", "day", where=where)
+    return op.streaks(user_days(spark, directory), "user_id", "day", where=where, calendar=True)
 
 
 _SKIPPED_DAY = 19737  # 2024-01-15 as a day number
@@ -945,7 +951,7 @@ def longest_streaks_with_skip(spark, directory):
     """Each user's longest run when one day does not count."""
     return op.streaks(
         user_days(spark, directory), "user_id", "day", where="event_type <> 'view'",
-        skip=[_SKIPPED_DAY], longest_only=True,
+        skip=[_SKIPPED_DAY], longest_only=True, calendar=True,
     )
 
 
@@ -963,7 +969,7 @@ def purchase_streaks_skip_counted(spark, directory):
     """Runs with one day skipped, where a purchase on that day still uses up a position."""
     return op.streaks(
         user_days(spark, directory), "user_id", "day", where="event_type = 'purchase'",
-        skip=[_SKIPPED_DAY], skipped_rows="count",
+        skip=[_SKIPPED_DAY], skipped_rows="count", calendar=True,
     )
 
 
@@ -995,3 +1001,181 @@ def orders_before_after_by_row(spark, directory):
     return op.before_after(
         nation_years(spark, directory), "teamid", "yr", F.col("won") == "N", "w", pre=3, post=(1, 2), mode="rows"
     )
+
+
+# Cut groups -------------------------------------------------------------------------
+# The same questions with slices so small that every table here is cut.
+
+SMALL_SLICE = 500
+
+
+def _priority_ranks(spark: SparkSession, directory: str) -> DataFrame:
+    rows = read_table(spark, directory, "orders").select("o_orderkey", "o_orderpriority")
+    return op.rankings(rows, ("o_orderpriority", "desc"), tie_break="o_orderkey", rows_per_slice=SMALL_SLICE)
+
+
+@query(SQL["order_priority_rankings"])
+def order_priority_rankings_in_slices(spark, directory):
+    """Global rankings by a column with five values, so that ties cross the cuts."""
+    return _priority_ranks(spark, directory)
+
+
+@query(SQL["order_rankings_by_status"])
+def order_rankings_by_status_in_slices(spark, directory):
+    """Rankings within three large groups, each cut."""
+    rows = read_table(spark, directory, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    ranked = op.rankings(rows, "o_totalprice", "o_orderstatus", "o_orderkey", rows_per_slice=SMALL_SLICE)
+    return ranked.drop("o_totalprice")
+
+
+@query(SQL["part_size_rankings"])
+def part_size_rankings_in_slices(spark, directory):
+    """Global rankings with heavy ties."""
+    rows = read_table(spark, directory, "part").select("p_partkey", "p_size")
+    return op.rankings(rows, ("p_size", "desc"), tie_break="p_partkey", rows_per_slice=SMALL_SLICE)
+
+
+@query(SQL["status_running_rows"])
+def status_running_rows_in_slices(spark, directory):
+    """Row-by-row running totals within three large groups, each cut."""
+    rows = order_years(spark, directory).select("team", "yr", "cents", "k")
+    totals = op.running_total(rows, "team", "yr", "cents", frame="rows", tie_break="k", rows_per_slice=SMALL_SLICE)
+    return totals.select("k", "team", "running_total", "period_number")
+
+
+@query(SQL["order_key_running_amount"])
+def order_key_running_amount_in_slices(spark, directory):
+    """A running amount over all orders, cut along their keys."""
+    return op.running_total(order_years(spark, directory), None, "k", "cents", rows_per_slice=SMALL_SLICE)
+
+
+@query(SQL["repeated_order_status"])
+def repeated_order_status_in_slices(spark, directory):
+    """Repetitions of the previous order's status, in blocks with copies of the rows at their edges."""
+    orders = read_table(spark, directory, "orders")
+    return op.repeat_winners(orders, "o_orderkey", "o_orderstatus", require_adjacent=False, rows_per_slice=SMALL_SLICE)
+
+
+# Missing values and single primitives -----------------------------------------------
+
+_ODD = """odd AS (
+    SELECT o_orderkey AS k, nullif(o_orderstatus, 'P') AS status, nullif(o_orderpriority, '1-URGENT') AS priority,
+           nullif(o_custkey % 100, 7) AS pid, year(o_orderdate) AS yr FROM orders)"""
+
+
+def _odd_orders(spark: SparkSession, directory: str) -> DataFrame:
+    """Orders in which one status, one priority and one customer group are missing."""
+    return read_table(spark, directory, "orders").select(
+        F.col("o_orderkey").alias("k"),
+        F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("status"),
+        F.nullif(F.col("o_orderpriority"), F.lit("1-URGENT")).alias("priority"),
+        F.nullif(F.col("o_custkey") % 100, F.lit(7)).alias("pid"),
+        F.year("o_orderdate").alias("yr"),
+    )
+
+
+@query(f"WITH {_ODD} SELECT {big('k')} FROM odd WHERE status <> 'F' OR priority <> '2-HIGH'")
+def orders_unlike_a_row(spark, directory):
+    """Row inequality under three-valued logic, where both columns have missing values."""
+    return _odd_orders(spark, directory).where(row_differs(["status", "priority"], ["F", "2-HIGH"])).select("k")
+
+
+@query(
+    f"""WITH {_ODD}, ranked AS (
+        SELECT k, row_number() OVER (PARTITION BY status ORDER BY priority ASC NULLS FIRST, k) AS row_number,
+               rank() OVER (PARTITION BY status ORDER BY priority ASC NULLS FIRST) AS rank,
+               dense_rank() OVER (PARTITION BY status ORDER BY priority ASC NULLS FIRST) AS dense_rank FROM odd)
+    SELECT {big('k', 'row_number', 'rank', 'dense_rank')} FROM ranked"""
+)
+def odd_rankings_missing_first(spark, directory):
+    """Rankings in groups of which one has no key, with missing values sorted first."""
+    rows = _odd_orders(spark, directory).select("k", "status", "priority")
+    ranked = op.rankings(rows, SortKey("priority", "asc", "first"), "status", "k")
+    return ranked.select("k", "row_number", "rank", "dense_rank")
+
+
+@query(f"WITH {_ODD} SELECT status, priority, {big('count(*) AS n', 'count(priority) AS known')} FROM odd GROUP BY status, priority")
+def odd_group_counts(spark, directory):
+    """Counts per group, where a missing value is a group of its own."""
+    return _odd_orders(spark, directory).groupBy("status", "priority").agg(
+        F.count("*").alias("n"), F.count("priority").alias("known")
+    )
+
+
+@query(
+    f"""WITH {_ODD}, career AS (
+        SELECT pid FROM odd WHERE pid NOT IN (SELECT pid FROM odd WHERE yr = 2001)
+        GROUP BY pid HAVING count(DISTINCT status) = 1 AND count(DISTINCT yr) >= 1)
+    SELECT {big('count(pid) AS members')} FROM career"""
+)
+def members_not_in_a_list_with_a_gap(spark, directory):
+    """NOT IN a list that holds a missing key: nobody qualifies."""
+    rows = _odd_orders(spark, directory)
+    members = op.single_group_members(rows, "pid", "status", "yr", 1, 2001, strict=True)
+    return members.agg(F.count("pid").alias("members"))
+
+
+@query(
+    f"""SELECT {big('c_custkey')}, c_name || ' / ' || n_name || ' / ' || nullif(c_mktsegment, 'BUILDING') AS label
+    FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_custkey BETWEEN 100 AND 900"""
+)
+def customer_labels_in_range(spark, directory):
+    """Joined text, missing where a part is, for a closed range of keys."""
+    people = read_table(spark, directory, "customer").where(F.col("c_custkey").between(100, 900))
+    nations = read_table(spark, directory, "nation")
+    label = F.concat("c_name", F.lit(" / "), "n_name", F.lit(" / "), F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")))
+    joined = people.join(nations, F.col("n_nationkey") == F.col("c_nationkey"))
+    return joined.select("c_custkey", label.alias("label"))
+
+
+@query(
+    f"""WITH pairs AS (SELECT l_orderkey, l_suppkey, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_suppkey)
+    SELECT {big('l_orderkey', 'l_linenumber', 'n')} FROM lineitem JOIN pairs USING (l_orderkey, l_suppkey) WHERE n > 1"""
+)
+def lines_with_a_repeated_supplier(spark, directory):
+    """An inner join on two keys."""
+    lines = read_table(spark, directory, "lineitem")
+    pairs = lines.groupBy("l_orderkey", "l_suppkey").agg(F.count("*").alias("n")).where("n > 1")
+    return lines.join(pairs, ["l_orderkey", "l_suppkey"]).select("l_orderkey", "l_linenumber", "n")
+
+
+@query(
+    f"""WITH best AS (
+        SELECT l_returnflag, l_linestatus, l_quantity, max(l_orderkey) AS last_order
+        FROM lineitem GROUP BY l_returnflag, l_linestatus, l_quantity)
+    SELECT {big('l_orderkey', 'l_linenumber')}, l_returnflag FROM lineitem
+    JOIN best USING (l_returnflag, l_linestatus, l_quantity) WHERE l_orderkey = last_order"""
+)
+def last_lines_of_each_quantity(spark, directory):
+    """An inner join on three keys, to the last order of each combination."""
+    lines = read_table(spark, directory, "lineitem")
+    keys = ["l_returnflag", "l_linestatus", "l_quantity"]
+    best = lines.groupBy(*keys).agg(F.max("l_orderkey").alias("last_order"))
+    joined = lines.join(best, keys).where("l_orderkey = last_order")
+    return joined.select("l_orderkey", "l_linenumber", "l_returnflag")
+
+
+@query(
+    f"""SELECT {big('k', 'place AS sorted_place')} FROM (
+        SELECT p_partkey AS k, row_number() OVER (
+            ORDER BY nullif(p_size, 50) DESC NULLS LAST, p_retailprice ASC, p_partkey) AS place FROM part) WHERE place <= 50"""
+)
+def sorted_parts_with_places(spark, directory):
+    """The first fifty rows by several keys, with an explicit place for missing values."""
+    rows = read_table(spark, directory, "part").select(
+        F.col("p_partkey").alias("k"), F.nullif(F.col("p_size"), F.lit(50)).alias("size"), "p_retailprice"
+    )
+    keys = sort_keys([("size", "desc", "last"), "p_retailprice", "k"])
+    first = rows.orderBy(*(key.sort() for key in keys)).limit(50)
+    return op.rankings(first, keys, tie_break="k").select("k", F.col("row_number").alias("sorted_place"))
+
+
+@query(
+    f"""WITH {TS}, scaled AS (SELECT teamid, yr, CAST(rev AS HUGEINT) * 1000000000000 AS rev, w FROM ts)
+    SELECT {big('teamid', 'yr', 'w')}, CAST(rev AS DOUBLE) AS rev, {ratio_sql('rev', 'w')} AS rev_per_w FROM scaled"""
+)
+def scaled_amount_per_order(spark, directory):
+    """Averages whose scaled totals are far beyond 64 bits."""
+    rows = nation_years(spark, directory).withColumn("rev", F.col("rev").cast("decimal(20,0)") * F.lit(Decimal(10**12)))
+    totals = op.grouped_totals(rows, ["teamid", "yr"], {"rev": "rev", "w": "w"}, per="w", integer_per=False)
+    return totals.select("teamid", "yr", "w", "rev", "rev_per_w")

@@ -268,7 +268,7 @@ def _next_season(t: Tables, literal: bool, where: str, **options) -> DataFrame:
     return op.next_period_change(
         rows, "name" if literal else "team", "year",
         ["homegame_total_attendance", "homegames", "homegame_attendance_per_game"],
-        where=where, require_adjacent=not literal, **options,
+        where=where, require_adjacent=not literal, calendar=True, **options,
     )
 
 
@@ -418,7 +418,7 @@ def division_rank_tally(t: Tables, literal: bool = True) -> DataFrame:
 def career_running_total(t: Tables, playerid: str = BENCHMARK) -> DataFrame:
     """One player's home runs so far and season number, per row."""
     rows = t["batting"].where(F.col("playerid") == playerid).select("playerid", "yearid", "hr")
-    totals = op.running_total(rows, "playerid", "yearid", "hr", per_row=True)
+    totals = op.running_total(rows, "playerid", "yearid", "hr", per_row=True, calendar=True)
     return totals.join(_names(t), "playerid").select(
         "namefirst", "namelast", F.col("running_total").alias("cumulative_hr"),
         F.col("period_number").alias("seasons_played"),
@@ -432,7 +432,7 @@ def _ahead_of_benchmark(t: Tables, literal: bool, **at) -> DataFrame:
         options = {
             "aggregate": False, "tie_break": "seq", "exclude": ~row_differs(["namefirst", "namelast"], BENCHMARK_NAME),
         }
-    ahead = op.pace_vs_benchmark(rows, "playerid", "yearid", "hr", BENCHMARK, **at, **options)
+    ahead = op.pace_vs_benchmark(rows, "playerid", "yearid", "hr", BENCHMARK, calendar=True, **at, **options)
     return ahead.join(_names(t), "playerid").select(
         "namefirst",
         "namelast",
@@ -457,7 +457,7 @@ def ahead_of_pace_season_20(t: Tables, literal: bool = True) -> DataFrame:
 @statement("W06")
 def anomalous_seasons(t: Tables, literal: bool = True) -> DataFrame:
     """Home runs against the five-year mean around the season; literally five rows."""
-    gaps = op.centered_anomaly(t["batting"], "playerid", "yearid", "hr", mode="rows" if literal else "range")
+    gaps = op.centered_anomaly(t["batting"], "playerid", "yearid", "hr", mode="rows" if literal else "range", calendar=True)
     shown = gaps.join(_names(t), "playerid").select(
         _full_name(), "yearid", "hr", F.col("window_mean").alias("five_yr_avg"),
         F.col("gap").alias("difference"), F.col("abs_gap").alias("abs_difference"),
@@ -490,9 +490,9 @@ def repeated_titles(t: Tables, literal: bool = True) -> DataFrame:
 
 
 def _team_streaks(t: Tables, literal: bool, where: str, **options) -> DataFrame:
-    """Literally a renamed team starts anew."""
-    entity = ["teamid", "name"] if literal else ["teamid"]
-    runs = op.streaks(t["teams"], entity, "yearid", where=where, **options)
+    """Literally runs are told apart by team and positions count by name, also across teams."""
+    position_by = "name" if literal else None
+    runs = op.streaks(t["teams"], "teamid", "yearid", where=where, position_by=position_by, calendar=True, **options)
     if not literal:
         runs = runs.join(t["teams"].select("teamid", "yearid", "name"), ["teamid", "yearid"])
     shown = runs.select("name", "yearid", F.col("streak").alias("streak_years"))
@@ -538,7 +538,7 @@ def manager_effect(t: Tables) -> DataFrame:
         starts.select("teamid", "yearid", "playerid"), ["teamid", "yearid"], "left"
     )
     effect = op.before_after(
-        series, "teamid", "yearid", F.col("playerid").isNotNull(), "win_percent", pre=3, post=(1, 3)
+        series, "teamid", "yearid", F.col("playerid").isNotNull(), "win_percent", pre=3, post=(1, 3), calendar=True
     )
     shown = effect.join(starts.select("teamid", "yearid", "playerid"), ["teamid", "yearid"]).join(_names(t), "playerid")
     return _sorted(

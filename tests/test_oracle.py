@@ -14,6 +14,15 @@ SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
 
 
+@pytest.fixture(scope="module", autouse=True)
+def compiled(spark):
+    """These run as in production, with whole stages compiled."""
+    before = spark.conf.get("spark.sql.codegen.wholeStage")
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    yield
+    spark.conf.set("spark.sql.codegen.wholeStage", before)
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
