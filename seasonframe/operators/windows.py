@@ -134,6 +134,7 @@ def pace_vs_benchmark(
     aggregate: bool = True,
     tie_break: str | Sequence[str] = (),
     exclude: Column | None = None,
+    per_benchmark_row: bool = False,
     rows_per_slice: int | None = ROWS_PER_SLICE,
     calendar: bool = False,
 ) -> DataFrame:
@@ -144,7 +145,8 @@ def pace_vs_benchmark(
     benchmark entity is left out by key; ``exclude`` leaves out further rows.
     ``aggregate=False`` compares the others' single rows along (period, tie_break) instead
     of their periods. The benchmark has one total per step, the one at the period's end, so
-    that a benchmark with many rows does not pair them all with everyone else's.
+    that a benchmark with many rows does not pair them all with everyone else's;
+    ``per_benchmark_row`` compares with its running total at each of its rows instead.
 
     In the aggregated form the totals need no window over whole series: rows up to the
     period are summed, or only the first ``at_step`` periods of each entity are kept.
@@ -156,7 +158,13 @@ def pace_vs_benchmark(
     others = df.where(~is_benchmark)
     if exclude is not None:
         others = others.where(~exclude)
-    if at_period is not None:
+    if per_benchmark_row:
+        pace = running_total(
+            df.where(is_benchmark), entity, period, value, "rows", tie_break, rows_per_slice=rows_per_slice
+        ).withColumnRenamed("period_number", "step")
+        if at_step is not None:
+            pace = pace.where(F.col("step") == at_step)
+    elif at_period is not None:
         pace = running_total(
             df.where(is_benchmark), entity, period, value, rows_per_slice=rows_per_slice, calendar=calendar
         )
@@ -164,7 +172,7 @@ def pace_vs_benchmark(
     else:
         pace = _first_periods(df.where(is_benchmark), entity, period, value, at_step, rows_per_slice)
     pace = pace.select("step", F.col("running_total").alias("benchmark_total"))
-    if at_step is not None or has_few_periods(df, period, calendar):
+    if not per_benchmark_row and (at_step is not None or has_few_periods(df, period, calendar)):
         pace = F.broadcast(pace)  # one row, or one per distinct year or day
 
     if at_period is not None:

@@ -431,6 +431,7 @@ def _ahead_of_benchmark(t: Tables, literal: bool, **at) -> DataFrame:
     if literal:
         options = {
             "aggregate": False, "tie_break": "seq", "exclude": ~row_differs(["namefirst", "namelast"], BENCHMARK_NAME),
+            "per_benchmark_row": True,
         }
     ahead = op.pace_vs_benchmark(rows, "playerid", "yearid", "hr", BENCHMARK, calendar=True, **at, **options)
     return ahead.join(_names(t), "playerid").select(
@@ -457,7 +458,7 @@ def ahead_of_pace_season_20(t: Tables, literal: bool = True) -> DataFrame:
 @statement("W06")
 def anomalous_seasons(t: Tables, literal: bool = True) -> DataFrame:
     """Home runs against the five-year mean around the season; literally five rows."""
-    gaps = op.centered_anomaly(t["batting"], "playerid", "yearid", "hr", mode="rows" if literal else "range", calendar=True)
+    gaps = op.centered_anomaly(t["batting"], "playerid", "yearid", "hr", mode="rows" if literal else "range", digits=6, calendar=True)
     shown = gaps.join(_names(t), "playerid").select(
         _full_name(), "yearid", "hr", F.col("window_mean").alias("five_yr_avg"),
         F.col("gap").alias("difference"), F.col("abs_gap").alias("abs_difference"),
@@ -522,28 +523,36 @@ def manager_effect(t: Tables) -> DataFrame:
     """Change of a team's winning percentage from the three years before a manager's first
     full season to the manager's second to fourth.
 
-    A full season is a team's season with one manager only. Counted are managers whose
-    first four full seasons with the team follow each other.
+    A full season is a team's season with one manager only. Counted are managers with four full
+    seasons at the team, which need not follow each other, and teams with all three years before.
     """
     sole = t["managers"].groupBy("teamid", "yearid").agg(
         F.count("*").alias("_managers"), F.min("playerid").alias("playerid")
     )
     seasons = Window.partitionBy("playerid", "teamid").orderBy("yearid")
-    tenures = sole.where("_managers = 1").withColumn("_fourth", F.lead("yearid", 3).over(seasons)).withColumn(
-        "_season", F.row_number().over(seasons)
-    )
-    starts = tenures.where((F.col("_season") == 1) & (F.col("_fourth") == F.col("yearid") + 3))
+    full = sole.where("_managers = 1").withColumn("_season", F.row_number().over(seasons))
     percent = exact_ratio(F.col("w"), F.col("g"), 4, percent=True).alias("win_percent")
-    series = t["teams"].select("teamid", "yearid", percent).join(
-        starts.select("teamid", "yearid", "playerid"), ["teamid", "yearid"], "left"
-    )
-    effect = op.before_after(
-        series, "teamid", "yearid", F.col("playerid").isNotNull(), "win_percent", pre=3, post=(1, 3), calendar=True
-    )
-    shown = effect.join(starts.select("teamid", "yearid", "playerid"), ["teamid", "yearid"]).join(_names(t), "playerid")
+    series = t["teams"].select("teamid", "yearid", percent)
+
+    def total(years: DataFrame, name: str) -> DataFrame:
+        """Sum of three years' percentages per tenure, where the team has all three."""
+        summed = years.join(series, ["teamid", "yearid"]).groupBy("playerid", "teamid").agg(
+            F.sum("win_percent").alias(name), F.count("win_percent").alias("_n")
+        )
+        return summed.where("_n = 3").drop("_n")
+
+    after = total(full.where(F.col("_season").between(2, 4)), "_after")
+    starts = full.where("_season = 1").select("playerid", "teamid", F.col("yearid").alias("first_full_season"))
+    years_before = F.explode(F.sequence(F.col("first_full_season") - 3, F.col("first_full_season") - 1))
+    before = total(starts.select("playerid", "teamid", years_before.alias("yearid")), "_before")
+    effect = starts.join(before, ["playerid", "teamid"]).join(after, ["playerid", "teamid"]).join(_names(t), "playerid")
+    three = F.lit(3)
     return _sorted(
-        shown.select(
-            _full_name(), "teamid", F.col("yearid").alias("first_full_season"), "pre_mean", "post_mean", "change"
+        effect.select(
+            _full_name(), "teamid", "first_full_season",
+            exact_ratio(F.col("_before"), three, 4, scale=4).alias("pre_mean"),
+            exact_ratio(F.col("_after"), three, 4, scale=4).alias("post_mean"),
+            exact_ratio(F.col("_after") - F.col("_before"), three, 4, scale=4).alias("change"),
         ),
         ("change", "desc"),
     )

@@ -480,3 +480,30 @@ def test_manager_effect(spark):
                          + [dict(playerid="p3", yearid=2002, teamid="T")]),
     }
     assert rows(S["MANAGER_EFFECT"](t)) == [("Al Ace", "T", 2003, dec("50.0000"), dec("70.0000"), dec("20.0000"))]
+
+
+def test_manager_effect_takes_full_seasons_with_a_gap(spark):
+    wins = {2000: 50, 2001: 50, 2002: 50, 2003: 10, 2004: 60, 2005: 1, 2006: 70, 2007: 80}
+    who = {2000: "p2", 2001: "p2", 2002: "p2", 2003: "p1", 2004: "p1", 2005: "p2", 2006: "p1", 2007: "p1"}
+    t = {
+        "people": people(spark),
+        "teams": make(spark, "teams", [team("T", y, w=w, g=100) for y, w in wins.items()]),
+        "managers": make(spark, "managers", [dict(playerid=p, yearid=y, teamid="T") for y, p in who.items()]),
+    }
+    assert rows(S["MANAGER_EFFECT"](t)) == [("Al Ace", "T", 2003, dec("50.0000"), dec("70.0000"), dec("20.0000"))]
+
+
+def test_literal_streak_of_a_team_that_changes_its_name(spark):
+    teams = [team("T", 1950, name="A", wswin="Y"), team("T", 1951, name="B", wswin="Y"), team("T", 1952, name="A", wswin="Y")]
+    found = rows(S["W10"]({"teams": make(spark, "teams", teams)}))
+    assert found == [("A", 1950, 1), ("A", 1952, 2), ("B", 1951, 1)]
+
+
+def test_literal_pace_meets_every_row_of_the_benchmark(spark):
+    batting = [("bondsba01", 2000, 1, 5), ("bondsba01", 2000, 2, 6), ("p1", 2016, 1, 9)]
+    t = {
+        "people": make(spark, "people", [dict(playerid="p1", namefirst="Al", namelast="Ace"), dict(playerid="bondsba01", namefirst="Barry", namelast="Bonds")]),
+        "batting": make(spark, "batting", [dict(playerid=p, yearid=y, seq=s, hr=h) for p, y, s, h in batting]),
+    }
+    assert rows(S["W04"](t), "cumulative_hr", "bb_cumulative_hr") == [(9, 5)]
+    assert rows(S["W04"](t, literal=False), "cumulative_hr", "bb_cumulative_hr") == []
