@@ -81,6 +81,72 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_chat_formatting"] = op4_chat_formatting
+SQL["op4_chat_formatting"] = r"""
+    WITH RECURSIVE told AS (
+        SELECT conv_id, turn, text, string_split_regex(text, '\r?\n') AS split
+        FROM (SELECT DISTINCT conv_id, turn, coalesce(text, '') AS text FROM conversations)
+    ),
+    lines AS (
+        SELECT conv_id, turn, text, pos, line, regexp_matches(line, '^[ \t]{0,3}>') AS quoted
+        FROM (SELECT conv_id, turn, text, unnest(split) AS line, generate_subscripts(split, 1) AS pos FROM told)
+    ),
+    marked AS (
+        SELECT *, CASE WHEN quoted THEN length(regexp_replace(regexp_extract(line, '^[ \t>]*'), '[^>]', '', 'g')) ELSE 0 END AS level,
+               CASE WHEN quoted THEN regexp_replace(line, '^[ \t>]*', '') ELSE line END AS content
+        FROM lines
+    ),
+    cut AS (
+        SELECT *, CASE WHEN level = lag(level) OVER w AND trim(regexp_replace(content, '\s+', ' ', 'g')) <> '' THEN 0 ELSE 1 END AS starts
+        FROM marked WINDOW w AS (PARTITION BY conv_id, turn, text ORDER BY pos)
+    ),
+    placed AS (SELECT *, sum(starts) OVER (PARTITION BY conv_id, turn, text ORDER BY pos) AS place FROM cut),
+    quotes AS (
+        SELECT * FROM (
+            SELECT conv_id, turn, level, place,
+                   lower(trim(regexp_replace(string_agg(content, ' ' ORDER BY pos), '\s+', ' ', 'g'))) AS passage
+            FROM placed WHERE level > 0 AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn, text, level, place)
+        WHERE passage <> ''
+    ),
+    own AS (
+        SELECT conv_id, turn, text, string_agg(CASE WHEN quoted THEN '' ELSE line END, chr(10) ORDER BY pos) AS plain,
+               coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT quoted AND NOT announces), '') AS said
+        FROM (
+            SELECT *, regexp_matches(line, '(?i)\b(wrote|writes|said|schrieb|a écrit|escribió)\s*:\s*$')
+                      AND coalesce(lead(quoted) OVER (PARTITION BY conv_id, turn, text ORDER BY pos), false) AS announces
+            FROM lines)
+        GROUP BY conv_id, turn, text
+    ),
+    first_said AS (
+        SELECT conv_id, passage, min(turn) AS first_turn
+        FROM (SELECT conv_id, turn, lower(trim(regexp_replace(unnest(string_split_regex(plain, '\n\s*\n')), '\s+', ' ', 'g'))) AS passage
+              FROM own WHERE conv_id IS NOT NULL AND turn IS NOT NULL)
+        WHERE passage <> '' GROUP BY conv_id, passage
+    ),
+    links AS (
+        SELECT q.conv_id, q.turn, level, place, CASE WHEN first_turn < q.turn THEN first_turn END AS source_turn
+        FROM quotes q LEFT JOIN first_said f ON f.conv_id = q.conv_id AND f.passage = q.passage
+    ),
+    answers AS (
+        SELECT conv_id, turn, count(*) AS n_quotes, count(source_turn) AS n_linked,
+               arg_min(source_turn, level * 1000000000 + place) FILTER (WHERE source_turn IS NOT NULL) AS parent
+        FROM links GROUP BY conv_id, turn
+    ),
+    chain AS (
+        SELECT conv_id, turn, parent AS up, 1 AS depth FROM answers WHERE parent IS NOT NULL
+        UNION ALL
+        SELECT c.conv_id, c.turn, a.parent, c.depth + 1
+        FROM chain c JOIN answers a ON a.conv_id = c.conv_id AND a.turn = c.up WHERE a.parent IS NOT NULL
+    ),
+    threads AS (SELECT conv_id, turn, min(up) AS root, max(depth) AS depth FROM chain GROUP BY conv_id, turn),
+    said AS (SELECT conv_id, turn, text, trim(regexp_replace(said, '^\s+|\s+$', '', 'g')) AS said FROM own)
+    SELECT m.conv_id, m.turn, m.role, said.said AS text, a.parent AS parent_turn, coalesce(t.root, m.turn) AS thread_turn,
+           CAST(coalesce(t.depth, 0) AS BIGINT) AS depth, coalesce(a.n_quotes, 0) AS n_quotes, coalesce(a.n_linked, 0) AS n_linked,
+           coalesce(m.role, 'user') || ': ' || said.said AS chat_line
+    FROM conversations m
+    JOIN said ON said.conv_id IS NOT DISTINCT FROM m.conv_id AND said.turn IS NOT DISTINCT FROM m.turn AND said.text = coalesce(m.text, '')
+    LEFT JOIN answers a ON a.conv_id = m.conv_id AND a.turn = m.turn
+    LEFT JOIN threads t ON t.conv_id = m.conv_id AND t.turn = m.turn
+"""
 
 
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
