@@ -196,7 +196,7 @@ def add_ranks(
     outputs = {name: kind for name, kind in ((rank, "rank"), (dense_rank, "dense_rank")) if name}
     if rows_per_slice is None or df.count() <= rows_per_slice:
         return _ranks_by_window(df, partition_by, keys, outputs)
-    return _ranks_by_value(df, df, partition_by, keys, outputs, rows_per_slice)
+    return _ranks_by_value(df, partition_by, keys, outputs, rows_per_slice)
 
 
 def _ranks_by_window(
@@ -209,15 +209,14 @@ def _ranks_by_window(
 
 def _ranks_by_value(
     df: DataFrame,
-    source: DataFrame,
     partition_by: Sequence[str],
     keys: Sequence[SortKey],
     outputs: dict[str, str],
     rows_per_slice: int | None,
 ) -> DataFrame:
-    """Ranks from the row counts per distinct sort value of ``source``, joined to ``df``."""
+    """Ranks from the row counts per distinct sort value, joined back."""
     group = list(dict.fromkeys([*partition_by, *(k.name for k in keys)]))
-    peers = source.groupBy(*group).agg(F.count("*").alias("__peers"))
+    peers = df.groupBy(*group).agg(F.count("*").alias("__peers"))
     scans = {"__through": F.col("__peers"), "__dense": F.lit(1)}
     scanned = prefix_sums(peers, partition_by, keys, scans, rows_per_slice)
     ranks = {"rank": F.col("__through") - F.col("__peers") + 1, "dense_rank": F.col("__dense")}
@@ -240,10 +239,90 @@ def scan_rows(
     """
     keys, breakers = sort_keys(order_by), sort_keys(list(tie_break))
     cuts = find_slices(df, partition_by, keys + breakers, rows_per_slice)
-    summed = _prefix_sums(df, partition_by, keys + breakers, sums, cuts)
     if cuts is None:
-        return _ranks_by_window(summed, partition_by, keys, ranks)
-    return _ranks_by_value(summed, df, partition_by, keys, ranks, rows_per_slice)
+        return _ranks_by_window(_prefix_sums(df, partition_by, keys + breakers, sums, None), partition_by, keys, ranks)
+    return _scan_slices(df, partition_by, keys, breakers, sums, ranks, cuts)
+
+
+def _scan_slices(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    keys: Sequence[SortKey],
+    breakers: Sequence[SortKey],
+    sums: dict[str, Column],
+    ranks: dict[str, str],
+    cuts: Cuts,
+) -> DataFrame:
+    """Running sums and ranks of cut groups in one pass over the slices.
+
+    A slice passes on its sums, its number of rows and of distinct sort values, its first and
+    last sort value and where the last one's rows start. So rows that share a value rank alike
+    although a cut runs between them.
+    """
+    group, values = [*partition_by, _SLICE], F.struct(*(F.col(k.name) for k in keys))
+    by_key = Window.partitionBy(*group).orderBy(*(k.sort() for k in keys))
+    by_row = Window.partitionBy(*group).orderBy(*(k.sort() for k in [*keys, *breakers]))
+    by_row = by_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scanned = with_slices(df, cuts).select(
+        "*",
+        *(F.sum(c).over(by_row).alias(n) for n, c in sums.items()),
+        F.rank().over(by_key).cast("bigint").alias("__rank"),
+        F.dense_rank().over(by_key).cast("bigint").alias("__dense"),
+    )
+
+    ends = df
+    if partition_by:
+        ends = join_on_same(df, F.broadcast(cuts.groups(df.sparkSession)), partition_by, "left_semi")
+    ends = with_slices(ends, cuts).select(
+        *group,
+        *(c.alias(f"__sum_{n}") for n, c in sums.items()),
+        values.alias("__value"),
+        F.rank().over(by_key).cast("bigint").alias("__rank"),
+        F.dense_rank().over(by_key).cast("bigint").alias("__dense"),
+    )
+    ends = ends.groupBy(*group).agg(
+        *(F.sum(f"__sum_{n}").alias(f"__sum_{n}") for n in sums),
+        F.count("*").alias("__rows"),
+        F.max("__dense").alias("__values"),
+        F.max("__rank").alias("__last_start"),
+        F.min_by("__value", "__rank").alias("__first"),
+        F.max_by("__value", "__rank").alias("__last"),
+    )
+    along = Window.partitionBy(*partition_by).orderBy(_SLICE)
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    through = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    follows = F.row_number().over(along) > 1
+    carries = ends.withColumn("__joined", follows & F.col("__first").eqNullSafe(F.lag("__last").over(along)))
+    carries = carries.withColumn("__rows_before", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)))
+    # a slice of one value that goes on from the last slice starts no run of its own
+    starts = ~(F.col("__joined") & (F.col("__values") == 1))
+    carries = carries.withColumn(
+        "__start", F.last(F.when(starts, F.col("__rows_before") + F.col("__last_start")), ignorenulls=True).over(through)
+    )
+    carries = carries.select(
+        *group,
+        *(F.sum(f"__sum_{n}").over(earlier).alias(f"__before_{n}") for n in sums),
+        "__rows_before",
+        "__joined",
+        F.lag("__start").over(along).alias("__start_before"),
+        (F.coalesce(F.sum("__values").over(earlier), F.lit(0)) - F.sum(F.col("__joined").cast("bigint")).over(through)).alias(
+            "__dense_before"
+        ),
+    )
+    joined = join_on_same(scanned, F.broadcast(carries), group, "left")
+
+    def add(name: str) -> Column:
+        here, before = F.col(name), F.col(f"__before_{name}")
+        total = F.when(before.isNull(), here).when(here.isNull(), before).otherwise(here + before)
+        return total.cast(scanned.schema[name].dataType).alias(name)
+
+    found = {
+        "rank": F.when(F.col("__joined") & (F.col("__dense") == 1), F.col("__start_before")).otherwise(
+            F.coalesce("__rows_before", F.lit(0)) + F.col("__rank")
+        ),
+        "dense_rank": F.coalesce("__dense_before", F.lit(0)) + F.col("__dense"),
+    }
+    return joined.select(*df.columns, *(add(n) for n in sums), *(found[kind].cast("bigint").alias(n) for n, kind in ranks.items()))
 
 
 def over_neighbours(
