@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seasonframe.llm.common import cut, whole_text
+from seasonframe.llm.common import cut, stored, whole_text
 
 #: Labelled documents that the text model is counted on: the lowest by the hash of their id.
 SAMPLE_DOCS = 4000
@@ -220,7 +220,9 @@ def identify(evidence: DataFrame, model: TextModel, id_col: str, *, min_confiden
     for level in ("_domain", "_suffix"):
         sums = hosts.groupBy(level).agg(F.array(*[F.sum(n) for n in names]).alias(f"_on{level}"))
         levels = levels.join(sums, level)
-    rows = scored.join(levels.select("_host", "_on_host", "_on_domain", "_on_suffix"), "_host", "left")
+    # stored, so that both sides of the join are shuffled for it and a hot host's rows can be split
+    levels = stored(levels.select("_host", "_on_host", "_on_domain", "_on_suffix"))
+    rows = scored.join(levels, "_host", "left")
 
     # from the most general level down: (votes without the own one + strength * prior above) / (sum + strength)
     own = [F.when(F.col("_vote") == i, 1.0).otherwise(0.0) for i in range(size)]
