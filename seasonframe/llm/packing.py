@@ -21,6 +21,8 @@ PART_ROWS = 32768
 ROUNDS = 3
 #: Denominators of the rounding functions tried as bounds.
 _STEPS = 32
+#: Ids of a task that wait to be sent on.
+_HELD_IDS = 1 << 19
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
@@ -172,10 +174,13 @@ def token_pieces(
     *,
     capacity: int = CAPACITY,
     end_id: int = END_ID,
+    with_ids: bool = True,
 ) -> DataFrame:
-    """``id_col, piece, start, length, ids`` per piece; only the first piece of a cut document may be short.
+    """``id_col, piece, start, length, ids_crc32`` and ``ids`` per piece; only the first piece of a cut
+    document may be short.
 
-    A null text counts as empty and gives the end id alone.
+    A null text counts as empty and gives the end id alone. ``with_ids=False`` leaves the ids themselves
+    out, where their place and sum are enough.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +189,7 @@ def token_pieces(
             rows, piece, start, ids = [], [], [], []
             held = 0
             for row, text in enumerate(batch.column("_text")):
-                own = np.append(encode(text.as_py()), np.uint32(end_id)).astype(np.int32)
+                own = np.append(encode(text.as_py()), np.uint32(end_id)).astype("<u4")
                 head = len(own) if len(own) <= capacity else len(own) % capacity or capacity
                 edges = [0, *range(head, len(own) + 1, capacity)]
                 for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
@@ -193,30 +198,33 @@ def token_pieces(
                     start.append(a)
                     ids.append(own[a:b])
                 held += len(own)
-                if held > 1 << 20:
-                    yield _piece_batch(batch.column("_id"), rows, piece, start, ids)
+                if held > _HELD_IDS:
+                    yield _piece_batch(batch.column("_id"), rows, piece, start, ids, with_ids)
                     rows, piece, start, ids, held = [], [], [], [], 0
             if rows:
-                yield _piece_batch(batch.column("_id"), rows, piece, start, ids)
+                yield _piece_batch(batch.column("_id"), rows, piece, start, ids, with_ids)
 
     chosen = docs.select(F.col(id_col).alias("_id"), whole_text(F.col(text_col)).alias("_text"))
     kind = chosen.schema["_id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"_id {kind}, piece int, start long, length long, ids array<int>").withColumnRenamed("_id", id_col)
+    schema = f"_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
+    return chosen.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
 
 
-def _piece_batch(id_column: pa.Array, rows: list[int], piece: list[int], start: list[int], ids: list[np.ndarray]) -> pa.RecordBatch:
+def _piece_batch(
+    id_column: pa.Array, rows: list[int], piece: list[int], start: list[int], ids: list[np.ndarray], with_ids: bool
+) -> pa.RecordBatch:
     sizes = [len(x) for x in ids]
-    lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(np.concatenate(ids)))
-    return pa.RecordBatch.from_arrays(
-        [
-            id_column.take(pa.array(rows)),
-            pa.array(piece, pa.int32()),
-            pa.array(start, pa.int64()),
-            pa.array(sizes, pa.int64()),
-            lists,
-        ],
-        names=["_id", "piece", "start", "length", "ids"],
-    )
+    columns = {
+        "_id": id_column.take(pa.array(rows)),
+        "piece": pa.array(piece, pa.int32()),
+        "start": pa.array(start, pa.int64()),
+        "length": pa.array(sizes, pa.int64()),
+        "ids_crc32": pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()),
+    }
+    if with_ids:
+        ends = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+        columns["ids"] = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids).astype(np.int32)))
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def pack_documents(
@@ -237,18 +245,7 @@ def pack_documents(
     ``token_pieces`` on the id and piece for the ids themselves. Null texts count as empty; a null id
     and repeated rows are packed like any other. Extra columns are ignored.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("ids")
-            flat, ends = ids.flatten().to_numpy().astype("<u4"), np.r_[0, np.cumsum(ids.value_lengths().to_numpy())]
-            sums = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            yield batch.drop_columns(["ids"]).append_column("ids_crc32", pa.array(sums, pa.int64()))
-
-    pieces = token_pieces(docs, tokenizer, id_col, text_col, capacity=capacity, end_id=end_id)
-    kind = pieces.schema[id_col].dataType.simpleString()
-    digests = cut(
-        pieces.withColumnRenamed(id_col, "_id").mapInArrow(run, f"_id {kind}, piece int, start long, length long, ids_crc32 long")
-    )
+    pieces = token_pieces(docs, tokenizer, id_col, text_col, capacity=capacity, end_id=end_id, with_ids=False)
+    digests = cut(pieces.withColumnRenamed(id_col, "_id"))
     placed = pack(digests, ["_id", "piece", "start", "ids_crc32"], capacity=capacity, part_rows=part_rows, rounds=rounds)
     return placed.select(F.col("_id").alias(id_col), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
