@@ -8,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from seasonframe.llm.packing import best_fit_decreasing, lower_bound, pack, pack_documents, token_pieces
+from seasonframe.llm.tokens import byte_encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -82,5 +83,18 @@ def test_pieces_carry_the_tokenizers_ids(documents):
             assert sums[i, piece] == (start, length, zlib.crc32(np.array(ids, "<u4").tobytes()))
 
 
+def test_white_space_of_every_length_gives_the_tokenizers_ids():
+    tokenizer = Tokenizer.from_file(PATH)
+    rng = random.Random(5)
+    short_runs, usual = byte_encoder(PATH, long_run=3), byte_encoder(PATH)
+    pieces = ["a", "é", "12", "<|endoftext|>", "!", " ", "  ", "    ", "\n\n\n", "\t \n ", "\xa0\xa0\xa0", "\u2003 \u3000", "\x1c\x1d\x1e", "\u200b" * 4]
+    for _ in range(2000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 12)))
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert short_runs(text).tolist() == want == usual(text).tolist(), repr(text)
+    for text in (" " * 1_000_000, "x" + "\n" * 300_000 + "y", "a" * 100_000, " " * 50_000 + "<|endoftext|>"):
+        assert usual(text).size > 0
+
+
 def test_empty_table(documents):
     assert pack_documents(documents([]), PATH).collect() == []
