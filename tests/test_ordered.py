@@ -115,6 +115,6 @@ def test_cut_points_are_bounded(skewed):
     assert 0 < cuts.table.num_rows <= 60
 
 
-def test_sliced_plan_has_no_single_partition_over_rows(skewed):
+def test_sliced_plan_joins_by_key(skewed):
     plan = prefix_sums(skewed, [], ["v", "id"], {"n": F.lit(1)}, 100)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
