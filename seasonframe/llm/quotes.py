@@ -10,6 +10,8 @@ from seasonframe.llm.common import cut, whole_text
 #: A quoted line, and a line that announces a quote (fixed values).
 QUOTED = r"^[ \t]{0,3}>"
 ANNOUNCES = r"(?i)\b(wrote|writes|said|schrieb|a écrit|escribió)\s*:\s*$"
+#: Where a sentence of a normalised passage ends (fixed values).
+SENTENCE_END = r"""(?<=[.!?…]["'”’)\]]{0,2}) |(?<=[。！？]) ?"""
 
 
 def lines_of(text: Column) -> Column:
@@ -35,6 +37,18 @@ def normalised_passage(text: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(text, r"\s+", " ")))
 
 
+def _sentences(passage: Column) -> Column:
+    return F.filter(F.transform(F.split(passage, SENTENCE_END, -1), F.trim), lambda x: x != "")
+
+
+def _sentences_of_lines(lines: Column) -> Column:
+    return F.flatten(F.transform(lines, _sentences))
+
+
+def _not_empty(lines: Column) -> Column:
+    return F.filter(F.transform(lines, normalised_passage), lambda x: x != "")
+
+
 def without_quotes(text: Column) -> Column:
     """The text's own lines: quoted ones go, and so does a line that announces the quote right below it."""
     lines = lines_of(text)
@@ -45,7 +59,7 @@ def without_quotes(text: Column) -> Column:
 
 
 def quoted_passages(messages: DataFrame, keys: list[str], text_col: str) -> DataFrame:
-    """``keys, level, place, passage`` for each paragraph that a message quotes, normalised.
+    """``keys, level, place, passage, lines`` for each paragraph that a message quotes, normalised.
 
     A paragraph ends where the quote level changes, at a line without content, and at a line that is
     not quoted. Only messages with a quote are taken apart.
@@ -63,27 +77,90 @@ def quoted_passages(messages: DataFrame, keys: list[str], text_col: str) -> Data
         lines.where(F.col("level") > 0)
         .groupBy(*keys, "_version", "level", "place")
         .agg(F.array_sort(F.collect_list(F.struct("_line", "_content"))).alias("_all"))
-        .withColumn("passage", normalised_passage(F.array_join(F.transform("_all", lambda x: x["_content"]), " ")))
+        .withColumn("lines", _not_empty(F.transform("_all", lambda x: x["_content"])))
+        .withColumn("passage", F.array_join("lines", " "))
         .where(F.col("passage") != "")
-        .select(*keys, "level", "place", "passage")
+        .select(*keys, "level", "place", "passage", "lines")
     )
 
 
+def _own_paragraphs(text: Column) -> Column:
+    plain = F.array_join(F.transform(lines_of(text), lambda x: F.when(_is_quoted(x), "").otherwise(x)), "\n")
+    return F.split(plain, r"\n\s*\n", -1)
+
+
 def own_passages(messages: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     """``keys, passage`` for each paragraph that a message itself says, normalised."""
-    plain = F.array_join(F.transform(lines_of(F.col(text_col)), lambda x: F.when(_is_quoted(x), "").otherwise(x)), "\n")
     return (
-        messages.select(*keys, F.explode(F.split(plain, r"\n\s*\n", -1)).alias("_paragraph"))
+        messages.select(*keys, F.explode(_own_paragraphs(F.col(text_col))).alias("_paragraph"))
         .select(*keys, normalised_passage(F.col("_paragraph")).alias("passage"))
         .where(F.col("passage") != "")
     )
 
 
+def _own_pieces(messages: DataFrame, keys: list[str], text_col: str) -> DataFrame:
+    """``keys, way, paragraph, place, piece``: the lines, the sentences, and the sentences within each line."""
+    paragraphs = messages.select(*keys, F.posexplode(_own_paragraphs(F.col(text_col))).alias("paragraph", "_paragraph"))
+    lines = _not_empty(lines_of(F.col("_paragraph")))
+    ways = F.array(lines, _sentences(normalised_passage(F.col("_paragraph"))), _sentences_of_lines(lines))
+    return paragraphs.select(*keys, "paragraph", F.posexplode(ways).alias("way", "_pieces")).select(
+        *keys, "way", "paragraph", F.posexplode("_pieces").alias("place", "piece")
+    )
+
+
+def first_holding(told: DataFrame, runs: DataFrame) -> DataFrame:
+    """``conv, lines, held``: the first turn that itself says all pieces of a run (``conv, lines``) in their order.
+
+    Pieces are the run's lines, its sentences, or the sentences within its lines, each a whole line or
+    sentence of the message, and no two overlap there; what stands between them may be left out.
+    Runs and texts that are equal are compared once. A run meets the texts that have its rarest
+    piece, by hash; what meets is compared in full. Runs without such a turn are left out.
+    """
+    lines = F.col("lines")
+    ways = F.array_distinct(F.array(lines, _sentences(F.array_join(lines, " ")), _sentences_of_lines(lines)))
+    tried = runs.select("conv", "lines", F.explode(ways).alias("pieces"))
+    tried = cut(tried.withColumn("run", F.md5(F.array_join("pieces", "\n"))))
+    wanted = tried.select("conv", "run", F.explode("pieces").alias("_piece")).select("conv", "run", F.xxhash64("_piece").alias("hash")).distinct()
+
+    texts = told.select("conv", "turn", "_text", F.md5("_text").alias("text_id"))
+    said = _own_pieces(texts, ["conv", "turn", "text_id"], "_text").select("conv", F.xxhash64("piece").alias("hash"), "text_id", "turn")
+    said = said.join(wanted.select("conv", "hash").distinct(), ["conv", "hash"], "left_semi")
+    said = cut(said.groupBy("conv", "hash", "text_id").agg(F.min("turn").alias("turn")))
+    often = said.groupBy("conv", "hash").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = (
+        wanted.join(often, ["conv", "hash"], "left")
+        .groupBy("conv", "run")
+        .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "hash")).alias("_rarest"))
+        .where(F.col("_rarest.n") > 0)
+        .select("conv", "run", F.col("_rarest.hash").alias("hash"))
+    )
+    meetings = cut(rarest.join(said, ["conv", "hash"]).select("conv", "run", "text_id", "turn"))
+
+    # what the texts say, each piece with where it starts and ends among the characters that are not spaces
+    met = texts.join(meetings.select("conv", "text_id").distinct(), ["conv", "text_id"], "left_semi").dropDuplicates(["conv", "text_id"])
+    in_order = Window.partitionBy("conv", "text_id", "way").orderBy("paragraph", "place")
+    pieces = _own_pieces(met, ["conv", "text_id"], "_text").withColumn("_long", F.length(F.regexp_replace("piece", " ", "")))
+    pieces = pieces.withColumn("end", F.sum("_long").over(in_order)).withColumn("start", F.col("end") - F.col("_long"))
+    texts_said = pieces.groupBy("conv", "text_id").agg(F.array_sort(F.collect_set(F.struct("end", "start", "piece"))).alias("_said"))
+
+    # the piece that ends first is taken each time, so a run that fits is found
+    def further(at: Column, x: Column) -> Column:
+        fits = (x["piece"] == F.get(F.col("pieces"), at["n"])) & (x["start"] >= at["end"])
+        return F.when(fits, F.struct((at["n"] + 1).alias("n"), x["end"].alias("end"))).otherwise(at)
+
+    none = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("end"))
+    compared = meetings.join(texts_said, ["conv", "text_id"]).join(tried.select("conv", "run", "pieces").dropDuplicates(["conv", "run"]), ["conv", "run"])
+    holding = compared.where(F.aggregate("_said", none, further)["n"] == F.size("pieces")).groupBy("conv", "run").agg(F.min("turn").alias("_held"))
+    return tried.join(holding, ["conv", "run"]).groupBy("conv", "lines").agg(F.min("_held").alias("held"))
+
+
 def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text") -> DataFrame:
     """``conv, turn, level, place, passage, source_turn`` for each quoted paragraph.
 
     ``source_turn`` is the first turn of the same conversation that says the paragraph, if it comes
-    before the quoting one, else null. Passages meet by their hash and are equal in full.
+    before the quoting one. Else it is the first turn before the quoting one that says all its lines or
+    sentences in their order (``first_holding``): parts of a paragraph, several paragraphs in one, and
+    lines broken elsewhere. Else it is null. Passages meet by their hash and are equal in full.
     """
     told = messages.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), whole_text(F.col(text_col)).alias("_text"))
     told = told.where(F.col("conv").isNotNull() & F.col("turn").isNotNull())
@@ -95,7 +172,13 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
         .agg(F.min("turn").alias("_first"))
     )
     found = quotes.join(first_said, ["conv", "hash", "passage"], "left")
-    return found.select("conv", "turn", "level", "place", "passage", F.when(F.col("_first") < F.col("turn"), F.col("_first")).alias("source_turn"))
+    found = cut(found.withColumn("_source", F.when(F.col("_first") < F.col("turn"), F.col("_first"))))
+    source = F.col("_source")
+    runs = cut(found.where(source.isNull()).select("conv", "lines").distinct())
+    if not runs.isEmpty():
+        found = found.join(first_holding(told, runs), ["conv", "lines"], "left")
+        source = F.coalesce(source, F.when(F.col("held") < F.col("turn"), F.col("held")))
+    return found.select("conv", "turn", "level", "place", "passage", source.alias("source_turn"))
 
 
 def _threads(parents: DataFrame) -> DataFrame:
@@ -122,8 +205,8 @@ def reply_ordered(
     """One row per message: ``conv_col, turn_col, role_col, text_col`` without quotes, ``parent_turn,
     thread_turn, depth, n_quotes, n_linked, chat_line``.
 
-    A message answers the message whose paragraph it quotes at the outermost level that links, the
-    first such in its text. ``thread_turn`` is the message at the end of that chain and ``depth`` its
+    A message answers the message whose paragraph, lines or sentences it quotes at the outermost level
+    that links, the first such in its text. ``thread_turn`` is the message at the end of that chain and ``depth`` its
     length; messages that quote nothing start threads. Ordered by ``conv_col, thread_turn, depth,
     turn_col``, a conversation reads so that every message follows the one it answers. No
     conversation is gathered in one row or task, so its length has no limit.

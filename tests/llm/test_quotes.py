@@ -104,6 +104,51 @@ def test_links_name_the_first_turn_that_says_it(spark):
     assert {(r.turn, r.source_turn) for r in link_quotes(table(spark, rows)).collect()} == {(6, 3), (2, None)}
 
 
+def test_parts_of_a_paragraph_link(spark):
+    cases = [
+        (["Line A\nLine B", "> Line B\nyes"], [0]),
+        (["One is here. Two is\nthere! Three?", "> two is there!\nyes"], [0]),  # a sentence over two lines
+        (["First point. Second point.", "> First point.\nyes\n> Second point.\nno"], [0, 0]),  # inline replies
+        (["Part one\n\nPart two. More", "> Part one\n> Part two.\nyes"], [0]),  # two paragraphs, the second cut short
+        (["a b c. d e f. g h.", "> d e\n> f. g\n> h.\nyes"], [0]),  # lines broken elsewhere
+        (["Sure.", "Sure. Thanks.", "> Thanks.\n> Sure.\nno", "Thanks. Oh. Sure.", "> Thanks.\n> Sure.\nyes"], [None, 3]),  # in order
+        (["a\nb.", "> a\n> a b.\nno"], [None]),  # lines that overlap are not said twice
+        (["x y\nz", "z", "> z\nyes", "> y\nno"], [1, None]),  # a paragraph first, and no piece of a line
+        (["> later\nno", "now and\nlater", "> later\nyes"], [None, 1]),
+    ]
+    rows = [(conv, turn, "user", text) for conv, (texts, _) in enumerate(cases) for turn, text in enumerate(texts)]
+    links = sorted(link_quotes(table(spark, rows)).collect(), key=lambda r: (r.conv, r.turn, r.place))
+    assert [[r.source_turn for r in links if r.conv == conv] for conv in range(len(cases))] == [want for _, want in cases]
+    assert [r[4:7] for r in collected(spark, rows[:2])] == [(None, 0, 0), (0, 0, 1)]
+
+
+def holds(run, text):
+    """Whether the text has the run's lines as lines in order."""
+    at = iter(x for x in (plain(x) for x in text.split("\n")) if x)
+    return all(any(x == y for y in at) for x in run)
+
+
+def test_random_lines_equal_plain_loops(spark):
+    rng = random.Random(8)
+    rows, want = [], {}
+    for conv in range(4):
+        bodies = []
+        for turn in range(20):
+            quoted = [x for x in rng.choice(bodies).split("\n") if x and rng.random() < 0.6] if bodies else []
+            if rng.random() < 0.2:
+                rng.shuffle(quoted)
+            body = "\n".join(rng.choice(["", "w one", "w two", "w three", "w four", f"w {turn}"]) for _ in range(rng.randint(1, 6)))
+            rows.append((conv, turn, "user", "\n".join(["> " + x.upper() for x in quoted] + ["", body])))
+            if quoted:
+                paragraphs = [[plain(p) for p in b.split("\n\n")] for b in bodies]
+                whole = [t for t, p in enumerate(paragraphs) if plain(" ".join(quoted)) in p]
+                parts = [t for t, b in enumerate(bodies) if holds([plain(x) for x in quoted], b)]
+                want[conv, turn] = (whole + parts + [None])[0]
+            bodies.append(body)
+    assert {(r.conv, r.turn): r.source_turn for r in link_quotes(table(spark, rows)).collect()} == want
+    assert any(x is None for x in want.values())
+
+
 def test_one_hot_conversation_and_passage(spark):
     rows = [(1, t, "user", "> first\nfirst" if t else "first") for t in range(400)]
     got = collected(spark, rows)
