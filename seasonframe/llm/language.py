@@ -7,12 +7,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seasonframe.llm.common import cut, stored, whole_text
 
-#: Labelled documents that the text model is counted on: the lowest by the hash of their id.
+#: Labelled documents of each language that the text model is counted on: the lowest by hash.
 SAMPLE_DOCS = 4000
 #: Hash buckets of letter triples.
 BUCKETS = 1 << 15
@@ -62,20 +62,42 @@ def _triples(text: str) -> Iterator[tuple[np.ndarray, int]]:
 
 
 _LETTER = np.array([chr(c).isalpha() for c in range(0x530)] + [True])
+#: The same as a pattern for Spark: a letter, or anything beyond Cyrillic.
+_HAS_LETTER = r"[\p{L}\x{530}-\x{10FFFF}]"
+
+
+def _lowest(wanted: int, among: int) -> int:
+    """The signed 64-bit bound below which about ``wanted`` of ``among`` evenly spread hashes lie."""
+    return (1 << 63) - 1 if wanted >= among else (wanted << 64) // among - (1 << 63)
 
 
 def train_text_model(
     labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", *, sample_docs: int = SAMPLE_DOCS
 ) -> TextModel:
-    """A model counted on up to ``sample_docs`` labelled rows; rows without label or text are no use.
-
-    Counts are summed on the executors. What the driver gets is one row per language, and there are
-    no more of those than sampled rows. Without any usable row the model knows no language.
+    """A model counted on up to ``sample_docs`` labelled rows of each label; rows without label or letter are no use.
+
+    The languages are all labels of usable rows, however rare. A label's sample is the rows with its
+    lowest hashes of id and text; rows equal in both count once, null ids are ids. Three aggregates find
+    it: how many different hashes a label has (approximate), from that a bound below which about three
+    times the sample lies, and the last hash of the sample among those. Counts are summed on the executors.
+    What the driver gets is one row per label and at most ``BUCKETS`` sums for each. Without any usable
+    row the model knows no language.
     """
-    rows = labelled.select(F.col(id_col).alias("_id"), F.lower(F.trim(F.col(label_col))).alias("_lang"), F.col(text_col).alias("_text"))
-    rows = rows.where(F.col("_lang").isNotNull() & (F.col("_lang") != ""))
-    ids = rows.select("_id").orderBy(F.xxhash64("_id"), "_id").limit(sample_docs).distinct()
-    chosen = rows.join(F.broadcast(ids), "_id", "left_semi").select("_lang", whole_text(F.col("_text")).alias("_text"))
+    rows = labelled.select(F.lower(F.trim(F.col(label_col))).alias("_lang"), F.col(id_col).alias("_id"), whole_text(F.col(text_col)).alias("_text"))
+    rows = rows.where(F.col("_lang").isNotNull() & (F.col("_lang") != "") & F.col("_text").rlike(_HAS_LETTER))
+    rows = rows.select("_lang", "_text", F.xxhash64("_id", "_text").alias("_hash"))
+    labels = {lang: n for lang, n in rows.groupBy("_lang").agg(F.approx_count_distinct("_hash")).collect()}
+    languages = sorted(labels)
+    if not languages:
+        return TextModel([], np.zeros((BUCKETS, 0)))
+    bounds = [(lang, _lowest(3 * sample_docs + 100, n)) for lang, n in labels.items()]
+    low = rows.join(F.broadcast(rows.sparkSession.createDataFrame(bounds, "_lang string, _bound long")), "_lang").where("_hash <= _bound")
+    place = F.row_number().over(Window.partitionBy("_lang").orderBy("_hash"))
+    ends = low.select("_lang", "_hash").distinct().withColumn("_place", place).where(F.col("_place") <= sample_docs)
+    last = ends.groupBy("_lang").agg(F.max("_hash").alias("_last")).collect()
+    cuts = rows.sparkSession.createDataFrame([tuple(r) for r in last], "_lang string, _last long")
+    chosen = rows.join(F.broadcast(cuts), "_lang").where("_hash <= _last").groupBy("_lang", "_hash").agg(F.first("_text").alias("_text"))
+    chosen = chosen.select("_lang", "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -93,12 +115,11 @@ def train_text_model(
 
     counted = chosen.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = counted.toArrow()
-    languages = sorted(set(found["lang"].to_pylist()))
     counts = np.zeros((BUCKETS, len(languages)))
     place = {lang: i for i, lang in enumerate(languages)}
     counts[found["bucket"].to_numpy(), [place[x] for x in found["lang"].to_pylist()]] = found["n"].to_numpy()
     smooth = counts + 0.2
-    return TextModel(languages, np.log(smooth / smooth.sum(axis=0)) if languages else smooth)
+    return TextModel(languages, np.log(smooth / smooth.sum(axis=0)))
 
 
 def page_evidence(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

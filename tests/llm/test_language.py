@@ -1,8 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 
-from seasonframe.llm.language import document_evidence, identify, page_evidence, train_text_model
+from seasonframe.llm.language import BUCKETS, document_evidence, identify, page_evidence, train_text_model
 
 WORDS = {
     "en": "the of and to in is that for it with as was on are by this from".split(),
@@ -69,6 +70,29 @@ def test_without_labels_nothing_is_accepted(spark):
     assert [(r.language, r.accepted) for r in rows] == [(None, False)]
 
 
+def test_a_rare_label_is_a_language(spark):
+    rows = [(i, prose("en", 8, i), "en") for i in range(3000)] + [(None, prose("de", 30, 1), " DE"), (5, prose("fr", 30, 2), "fr"), (6, "123", "xx")]
+    rows += [(9, prose("en", 8, 9), "en")] * 500
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = train_text_model(labelled, sample_docs=20)
+    assert model.languages == ["de", "en", "fr"]
+    got = decided(spark, model, [(1, "http://a.b/c", f"<html lang=de>{prose('de', 60, 3)}"), (2, "http://a.b/fr/c", f"<html lang=fr>{prose('fr', 60, 4)}")])
+    assert [(got[i].language, got[i].declared_language) for i in (1, 2)] == [("de", "de"), ("fr", "fr")]
+    assert got[2].address_language == "fr"
+    again = train_text_model(labelled.repartition(7), sample_docs=20)
+    assert (again.weights == model.weights).all()
+
+
+def test_the_sample_is_bounded_for_each_label(spark):
+    rows = [(i, "abc", lang) for i in range(400) for lang in ("aa", "bb")] + [(1, "abc", "aa")] * 300 + [(i, "abc", "cc") for i in range(3)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for docs in (1, 10):
+        weights = train_text_model(labelled, sample_docs=docs).weights
+        # each document has three triples, counted over 0.2 in every bucket
+        for i, n in enumerate((docs, docs, min(docs, 3))):
+            assert np.exp(weights[:, i]).max() == pytest.approx((n + 0.2) / (3 * n + 0.2 * BUCKETS))
+
+
 def test_held_out_accuracy(spark):
     import os
 
