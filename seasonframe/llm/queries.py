@@ -15,6 +15,7 @@ from seasonframe.llm.exact_dedup import exact_duplicates
 from seasonframe.llm.html_text import extract_text
 from seasonframe.llm.language import identify, page_evidence, train_text_model
 from seasonframe.llm.packing import pack_documents
+from seasonframe.llm.pieces import piece_digests
 from seasonframe.llm.pii import KINDS, find_personal_data, joined_spans
 from seasonframe.llm.quotes import reply_ordered
 from seasonframe.llm.simhash import simhash_duplicates
@@ -211,3 +212,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_best_fit_packing"] = op10_best_fit_packing
+
+
+def op11_sentencepiece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES["op11_sentencepiece_encoding"] = op11_sentencepiece_encoding
