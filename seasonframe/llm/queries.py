@@ -14,6 +14,7 @@ from seasonframe.llm.embedding_dedup import near_vectors
 from seasonframe.llm.exact_dedup import exact_duplicates
 from seasonframe.llm.html_text import extract_text
 from seasonframe.llm.language import identify, page_evidence, train_text_model
+from seasonframe.llm.merkle import manifest
 from seasonframe.llm.packing import pack_documents
 from seasonframe.llm.pieces import piece_digests
 from seasonframe.llm.pii import KINDS, find_personal_data, joined_spans
@@ -219,3 +220,78 @@ def op11_sentencepiece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op11_sentencepiece_encoding"] = op11_sentencepiece_encoding
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    upper = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
+    return manifest(
+        table(spark, sf_dir, "documents"),
+        fields=["doc_id", "source", "lang", "n_chars", "text"],
+        changed={"text": F.translate("text", upper, upper.lower())},
+        changed_where=F.crc32(F.col("doc_id").cast("string")) % 5 == 0,
+        proofs=False,
+    ).drop("source")
+
+
+QUERIES["op12_merkle_manifest"] = op12_merkle_manifest
+SQL["op12_merkle_manifest"] = r"""
+    WITH RECURSIVE crc_table AS (
+        SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS step
+        FROM range(256) AS t(b)
+    ),
+    leaves AS (
+        SELECT doc_id, source,
+               sha256(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')
+                   || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+               sha256(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')
+                   || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) AS lowered,
+               coalesce(xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+                   lambda c, d: xor(c >> 8, step[(xor(c, d) & 255) + 1])), 4294967295) % 5 = 0, false) AS tampered
+        FROM documents, crc_table
+    ),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves),
+    tree AS (
+        SELECT source, 0 AS level, place, leaf AS node, count(*) OVER (PARTITION BY source) AS nodes FROM placed
+        UNION ALL
+        SELECT source, level + 1, place // 16, sha256(string_agg(node, '' ORDER BY place)), (any_value(nodes) + 15) // 16
+        FROM tree WHERE nodes > 1 GROUP BY source, level, place // 16
+    ),
+    subroots AS (SELECT source, node AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM tree WHERE nodes = 1),
+    top AS (
+        SELECT 0 AS level, place, subroot AS node, count(*) OVER () AS nodes FROM subroots
+        UNION ALL
+        SELECT level + 1, place // 16, sha256(string_agg(node, '' ORDER BY place)), (any_value(nodes) + 15) // 16
+        FROM top WHERE nodes > 1 GROUP BY level, place // 16
+    ),
+    steps AS (
+        SELECT p.source, p.place, t.level,
+               coalesce(string_agg(t.node, '' ORDER BY t.place) FILTER (WHERE t.place < p.place // (16 ** t.level)::BIGINT), '') AS before,
+               coalesce(string_agg(t.node, '' ORDER BY t.place) FILTER (WHERE t.place > p.place // (16 ** t.level)::BIGINT), '') AS after
+        FROM placed p JOIN tree t ON t.source IS NOT DISTINCT FROM p.source AND t.nodes > 1 AND t.place // 16 = p.place // (16 ** (t.level + 1))::BIGINT
+        GROUP BY p.source, p.place, t.level
+    ),
+    top_steps AS (
+        SELECT s.source, t.level,
+               coalesce(string_agg(t.node, '' ORDER BY t.place) FILTER (WHERE t.place < s.place // (16 ** t.level)::BIGINT), '') AS before,
+               coalesce(string_agg(t.node, '' ORDER BY t.place) FILTER (WHERE t.place > s.place // (16 ** t.level)::BIGINT), '') AS after
+        FROM subroots s JOIN top t ON t.nodes > 1 AND t.place // 16 = s.place // (16 ** (t.level + 1))::BIGINT
+        GROUP BY s.source, t.level
+    ),
+    paths AS (
+        SELECT p.doc_id, p.source, p.place, p.leaf, CASE WHEN tampered THEN lowered ELSE leaf END AS given,
+               coalesce((SELECT list({b: before, a: after} ORDER BY level) FROM steps s WHERE s.source IS NOT DISTINCT FROM p.source AND s.place = p.place), [])
+               || coalesce((SELECT list({b: before, a: after} ORDER BY level) FROM top_steps s WHERE s.source IS NOT DISTINCT FROM p.source), []) AS path
+        FROM placed p
+    ),
+    folded AS (
+        SELECT doc_id, source, leaf, path, 0 AS done, given AS node FROM paths
+        UNION ALL
+        SELECT doc_id, source, leaf, path, done + 1, sha256(path[done + 1].b || node || path[done + 1].a) FROM folded WHERE done < len(path)
+    )
+    SELECT f.doc_id, f.leaf, s.subroot, t.node AS root, sha256(list_aggregate(list_transform(path, lambda x: x.b || x.a), 'string_agg', '')) AS proof_sha256,
+           f.node AS folded_root, f.node = t.node AS verified
+    FROM folded f JOIN subroots s ON s.source IS NOT DISTINCT FROM f.source CROSS JOIN (SELECT node FROM top WHERE nodes = 1) t
+    WHERE f.done = len(f.path)
+"""
