@@ -20,6 +20,7 @@ from seasonframe.llm.pieces import piece_digests
 from seasonframe.llm.pii import KINDS, find_personal_data, joined_spans
 from seasonframe.llm.quotes import reply_ordered
 from seasonframe.llm.simhash import simhash_duplicates
+from seasonframe.llm.spelling import spelling_groups, word_counts
 from seasonframe.llm.suffix_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -295,3 +296,49 @@ SQL["op12_merkle_manifest"] = r"""
     FROM folded f JOIN subroots s ON s.source IS NOT DISTINCT FROM f.source CROSS JOIN (SELECT node FROM top WHERE nodes = 1) t
     WHERE f.done = len(f.path)
 """
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = word_counts(table(spark, sf_dir, "documents"), shortest=7, least=2, slip_every=31)
+    return spelling_groups(counts, times=10)
+
+
+QUERIES["op13_spelling_variants"] = op13_spelling_variants
+SQL["op13_spelling_variants"] = r"""
+    WITH RECURSIVE crc_table AS (
+        SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS step
+        FROM range(256) AS t(b)
+    ),
+    runs AS (
+        SELECT doc_id, run, count(*) AS times
+        FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]{7,}')) AS run FROM documents)
+        GROUP BY doc_id, run
+    ),
+    marked AS (
+        SELECT run, times,
+               xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(coalesce(doc_id::VARCHAR, '') || ':' || run), '..'),
+                       lambda h: (strpos('0123456789ABCDEF', h[1]) - 1) * 16 + strpos('0123456789ABCDEF', h[2]) - 1)),
+                   lambda c, d: xor(c >> 8, step[(xor(c, d) & 255) + 1])), 4294967295) AS mark
+        FROM runs, crc_table
+    ),
+    words AS (
+        SELECT word, sum(times)::BIGINT AS n
+        FROM (SELECT CASE WHEN mark % 31 = 0 THEN substr(run, 1, mark % length(run)) || substr(run, mark % length(run) + 2) ELSE run END AS word, times FROM marked)
+        WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2
+    ),
+    skips AS (SELECT word, n, substr(word, 1, i) AS before, substr(word, i + 2) AS after FROM (SELECT *, unnest(range(length(word))) AS i FROM words)),
+    near AS (
+        SELECT s.word, t.word AS other, t.n FROM skips s JOIN skips t ON s.before = t.before AND s.after = t.after AND s.word <> t.word
+        UNION SELECT s.word, w.word, w.n FROM skips s JOIN words w ON w.word = s.before || s.after
+        UNION SELECT w.word, s.word, s.n FROM skips s JOIN words w ON w.word = s.before || s.after
+    ),
+    counted AS (SELECT word, count(*) AS n_near, first({w: other, n: n} ORDER BY n DESC, other) AS best FROM near GROUP BY word),
+    forms AS (SELECT w.word, c.best.w AS form, c.best.n AS form_n FROM words w JOIN counted c ON c.word = w.word WHERE c.best.n >= 10 * w.n),
+    chain AS (
+        SELECT word, form AS leads, 1 AS steps FROM forms
+        UNION ALL SELECT c.word, f.form, c.steps + 1 FROM chain c JOIN forms f ON f.word = c.leads
+    ),
+    roots AS (SELECT word, arg_max(leads, steps) AS root FROM chain GROUP BY word)
+    SELECT w.word, f.form, coalesce(r.root, w.word) AS root, w.n, coalesce(c.n_near, 0) AS n_near, f.form_n
+    FROM words w LEFT JOIN counted c ON c.word = w.word LEFT JOIN forms f ON f.word = w.word LEFT JOIN roots r ON r.word = w.word
+"""
