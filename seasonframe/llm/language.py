@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seasonframe.llm.common import cut, stored, whole_text
 
 #: Labelled documents of each language that the text model is counted on: the lowest by hash.
 SAMPLE_DOCS = 4000
+#: Labelled documents of all languages together; with many languages each gets its share, one at least.
+SAMPLE_TOTAL = 400_000
+#: A language whose text likelihood is below the best one's by this factor's logarithm is impossible.
+IMPOSSIBLE = 200.0
+#: Statements and languages up to which their table is broadcast, each about 16 bytes.
+BROADCAST_COUNTS = 500_000
 #: Hash buckets of letter triples.
 BUCKETS = 1 << 15
+#: Count that every bucket has in every language before any text.
+SMOOTH = 0.2
 #: Triples overlap, so each counts for less than an independent observation.
 TEXT_WEIGHT = 0.4
 #: Pseudo-counts with which a level of the address falls back on the one above it.
@@ -30,18 +40,45 @@ _CHUNK = 1 << 20
 
 @dataclass
 class TextModel:
-    """Languages, and for each the log likelihood of every bucket of letter triples."""
+    """Languages, and the log likelihoods of the buckets of letter triples, kept for the buckets that a language has.
 
-    languages: list[str]
-    weights: np.ndarray  # (buckets, languages)
+    Bucket ``b`` has the entries ``starts[b]`` to ``starts[b + 1]`` of ``language`` and ``above``: by how much
+    its log likelihood lies above ``floor``, the language's for a bucket without a count.
+    """
 
-    def score(self, text: str) -> tuple[np.ndarray, int]:
-        """Sum of log likelihoods for each language, and the number of letters."""
-        total, letters = np.zeros(len(self.languages)), 0
+    languages: list[str]
+    floor: np.ndarray
+    starts: np.ndarray
+    language: np.ndarray
+    above: np.ndarray
+
+    def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sum of log likelihoods for each text and language, and the texts' numbers of letters."""
+        size = len(self.languages)
+        total, letters = np.zeros(len(texts) * size), np.zeros(len(texts), np.int64)
+        for rows, buckets in _triples_of(texts):
+            letters += np.bincount(rows, minlength=len(texts))
+            wide = self.starts[buckets + 1] - self.starts[buckets]
+            ends = np.cumsum(wide)
+            entry = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[buckets] - ends + wide, wide)
+            place = np.repeat(rows * size, wide) + self.language[entry]
+            total += np.bincount(place, self.above[entry], len(total))
+        return total.reshape(len(texts), size) + letters[:, None] * self.floor, letters
+
+
+def _triples_of(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Text numbers and buckets of all triples, in parts of about ``_CHUNK`` letters."""
+    rows, found, held = [], [], 0
+    for row, text in enumerate(texts):
         for buckets, n in _triples(text):
-            letters += n
-            total += np.bincount(buckets, minlength=BUCKETS) @ self.weights if len(buckets) > BUCKETS else self.weights[buckets].sum(axis=0)
-        return total, letters
+            rows.append(np.full(n, row))
+            found.append(buckets)
+            held += n
+            if held >= _CHUNK:
+                yield np.concatenate(rows), np.concatenate(found)
+                rows, found, held = [], [], 0
+    if rows:
+        yield np.concatenate(rows), np.concatenate(found)
 
 
 def _triples(text: str) -> Iterator[tuple[np.ndarray, int]]:
@@ -77,11 +114,12 @@ def train_text_model(
     """A model counted on up to ``sample_docs`` labelled rows of each label; rows without label or letter are no use.
 
     The languages are all labels of usable rows, however rare. A label's sample is the rows with its
-    lowest hashes of id and text; rows equal in both count once, null ids are ids. Three aggregates find
-    it: how many different hashes a label has (approximate), from that a bound below which about three
+    lowest hashes of id and text; rows equal in both count once, null ids are ids. All samples together
+    have ``SAMPLE_TOTAL`` rows, or one for each label where there are more labels. Three aggregates find
+    them: how many different hashes a label has (approximate), from that a bound below which about three
     times the sample lies, and the last hash of the sample among those. Counts are summed on the executors.
-    What the driver gets is one row per label and at most ``BUCKETS`` sums for each. Without any usable
-    row the model knows no language.
+    What the driver gets is one row per label, and the buckets that occur in the samples. Without any
+    usable row the model knows no language; an empty table has none.
     """
     rows = labelled.select(F.lower(F.trim(F.col(label_col))).alias("_lang"), F.col(id_col).alias("_id"), whole_text(F.col(text_col)).alias("_text"))
     rows = rows.where(F.col("_lang").isNotNull() & (F.col("_lang") != "") & F.col("_text").rlike(_HAS_LETTER))
@@ -89,7 +127,8 @@ def train_text_model(
     labels = {lang: n for lang, n in rows.groupBy("_lang").agg(F.approx_count_distinct("_hash")).collect()}
     languages = sorted(labels)
     if not languages:
-        return TextModel([], np.zeros((BUCKETS, 0)))
+        return TextModel([], np.zeros(0), np.zeros(BUCKETS + 1, np.int64), np.zeros(0, np.int32), np.zeros(0))
+    sample_docs = max(1, min(sample_docs, SAMPLE_TOTAL // len(languages)))
     bounds = [(lang, _lowest(3 * sample_docs + 100, n)) for lang, n in labels.items()]
     low = rows.join(F.broadcast(rows.sparkSession.createDataFrame(bounds, "_lang string, _bound long")), "_lang").where("_hash <= _bound")
     place = F.row_number().over(Window.partitionBy("_lang").orderBy("_hash"))
@@ -100,26 +139,31 @@ def train_text_model(
     chosen = chosen.select("_lang", "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, np.ndarray] = {}
+        total: Counter[tuple[str, int]] = Counter()
         for batch in batches:
             for lang, text in zip(batch.column("_lang").to_pylist(), batch.column("_text"), strict=True):
-                count = total.setdefault(lang, np.zeros(BUCKETS, np.int64))
                 for buckets, _ in _triples(text.as_py()):
-                    count += np.bincount(buckets, minlength=BUCKETS)
-        for lang, count in total.items():
-            hit = np.flatnonzero(count)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(hit), pa.string()), pa.array(hit, pa.int64()), pa.array(count[hit], pa.int64())],
-                names=["lang", "bucket", "n"],
-            )
+                    hit, n = np.unique(buckets, return_counts=True)
+                    total.update({(lang, bucket): times for bucket, times in zip(hit.tolist(), n.tolist(), strict=True)})
+                if len(total) > _CHUNK:
+                    yield _counted(total)
+                    total = Counter()
+        yield _counted(total)
 
     counted = chosen.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     found = counted.toArrow()
-    counts = np.zeros((BUCKETS, len(languages)))
-    place = {lang: i for i, lang in enumerate(languages)}
-    counts[found["bucket"].to_numpy(), [place[x] for x in found["lang"].to_pylist()]] = found["n"].to_numpy()
-    smooth = counts + 0.2
-    return TextModel(languages, np.log(smooth / smooth.sum(axis=0)))
+    number = {lang: i for i, lang in enumerate(languages)}
+    language = np.array([number[x] for x in found["lang"].to_pylist()], np.int32)
+    bucket, n = found["bucket"].to_numpy(), found["n"].to_numpy()
+    order = np.lexsort((language, bucket))
+    every = np.log(np.bincount(language, n, len(languages)) + SMOOTH * BUCKETS)
+    starts = np.r_[0, np.cumsum(np.bincount(bucket, minlength=BUCKETS))]
+    return TextModel(languages, np.log(SMOOTH) - every, starts, language[order], np.log((n[order] + SMOOTH) / SMOOTH))
+
+
+def _counted(total: Counter[tuple[str, int]]) -> pa.RecordBatch:
+    columns = [pa.array([k[0] for k in total], pa.string()), pa.array([k[1] for k in total], pa.int64()), pa.array(total.values(), pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "bucket", "n"])
 
 
 def page_evidence(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -154,53 +198,103 @@ def document_evidence(
     )
 
 
+_EVIDENCE = ("_id", "_declared", "_address", "_host")
+
+
 def _scored(evidence: DataFrame, model: TextModel) -> DataFrame:
-    """The evidence with the text's tempered log likelihoods, letters and best language in place of the text."""
+    """The evidence with the text's letters, best language and tempered log likelihoods in place of the text.
+
+    ``_langs`` and ``_score`` list the languages that the text leaves possible.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores, letters, votes = [], [], []
-            for text in batch.column("_text"):
-                score, n = model.score(text.as_py())
-                scores.append(TEXT_WEIGHT * (score - score.max()))
-                letters.append(n)
-                votes.append(int(score.argmax()) if n else None)
-            lists = pa.array(scores, pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("_id", "_declared", "_address", "_host")), lists, pa.array(letters, pa.int64()), pa.array(votes, pa.int32())],
-                names=["_id", "_declared", "_address", "_host", "_score", "_letters", "_vote"],
-            )
+        for whole in batches:
+            rows = max(1, _CHUNK // len(model.languages))
+            for start in range(0, whole.num_rows, rows):
+                batch = whole.slice(start, rows)
+                score, letters = model.scores(batch.column("_text").to_pylist())
+                vote = pa.array(score.argmax(axis=1), pa.int32(), mask=letters == 0)
+                score = TEXT_WEIGHT * (score - score.max(axis=1, keepdims=True))
+                row, language = np.nonzero((score >= -IMPOSSIBLE) & (letters > 0)[:, None])
+                ends = pa.array(np.r_[0, np.cumsum(np.bincount(row, minlength=batch.num_rows))], pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (language.astype(np.int32), score[row, language])]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c) for c in _EVIDENCE), pa.array(letters, pa.int64()), vote, *lists],
+                    names=[*_EVIDENCE, "_letters", "_vote", "_langs", "_score"],
+                )
 
     kind = evidence.schema["_id"].dataType.simpleString()
     return evidence.mapInArrow(
-        run, f"_id {kind}, _declared string, _address string, _host string, _score array<double>, _letters long, _vote int"
+        run, f"_id {kind}, _declared string, _address string, _host string, _letters long, _vote int, _langs array<int>, _score array<double>"
     )
 
 
-def _votes(size: int) -> list[Column]:
-    return [F.sum(F.when(F.col("_vote") == i, 1).otherwise(0)).alias(f"_v{i}") for i in range(size)]
-
+def _listed(counts: DataFrame, key: str, name: str) -> DataFrame:
+    """One row per ``key`` from its (``_vote``, ``_n``) rows, of which it has one per language at most: ``name`` lists them."""
+    return counts.groupBy(key).agg(F.collect_list(F.struct(F.col("_vote").alias("language"), F.col("_n").alias("n"))).alias(name))
 
-def _logs(values: list[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
 
+def _host_votes(scored: DataFrame) -> DataFrame:
+    """``_host`` and the votes on it, on its domain and on its suffix, as lists; grouped sums, one row per vote until the end."""
+    votes = scored.where("_vote is not null").groupBy("_host", "_vote").agg(F.count(F.lit(1)).alias("_n"))
+    votes = cut(
+        votes.withColumn("_domain", F.regexp_extract("_host", r"([^.]+\.[^.]+)$", 1)).withColumn("_suffix", F.regexp_extract("_host", r"([^.]+)$", 1))
+    )
+    hosts = scored.select("_host").distinct().withColumn("_domain", F.regexp_extract("_host", r"([^.]+\.[^.]+)$", 1))
+    levels = hosts.withColumn("_suffix", F.regexp_extract("_host", r"([^.]+)$", 1))
+    for key in ("_host", "_domain", "_suffix"):
+        sums = votes.groupBy(key, "_vote").agg(F.sum("_n").alias("_n"))
+        levels = levels.join(_listed(sums, key, f"_on{key}"), key, "left")
+    return levels.select("_host", "_on_host", "_on_domain", "_on_suffix")
+
+
+def _statements(scored: DataFrame, column: str, languages: DataFrame, place: str) -> tuple[DataFrame, dict[int, int]]:
+    """Per language that ``column`` may state: its number as ``place`` and the votes of the texts where it is stated;
+    and how many statements the texts of each language have. Anything but the model's languages is no statement."""
+    stated = scored.where("_vote is not null").join(languages, F.col(column) == F.col("_name"))
+    counts = cut(stated.groupBy(F.col("_number").alias(place), "_vote").agg(F.count(F.lit(1)).alias("_n")))
+    size = counts.count()
+    totals = {r["_vote"]: r["_n"] for r in counts.groupBy("_vote").agg(F.sum("_n").alias("_n")).collect()}
+    listed = languages.select(F.col("_name").alias(column), F.col("_number").alias(place)).join(_listed(counts, place, f"{place}_votes"), place, "left")
+    return (F.broadcast(listed) if size <= BROADCAST_COUNTS else listed), totals
+
+
+def _dense(column: pa.Array, field: str, value: str, size: int) -> np.ndarray:
+    """Lists of (language, value) as rows of a matrix; null lists are empty."""
+    out = np.zeros((len(column), size))
+    entries = column.flatten()
+    row = np.repeat(np.arange(len(column)), np.nan_to_num(pc.list_value_length(column).to_numpy(zero_copy_only=False)).astype(np.int64))
+    out[row, pc.struct_field(entries, field).to_numpy()] = pc.struct_field(entries, value).to_numpy()
+    return out
 
-def _reliability(scored: DataFrame, column: str, languages: list[str]) -> Column:
-    """Log likelihood of what ``column`` says under each language, from its agreement with the texts.
 
-    Only the model's own languages count as statements, so there are languages squared counts.
-    Anything else is no evidence.
-    """
-    counts = np.zeros((len(languages), len(languages)))
-    place = {lang: i for i, lang in enumerate(languages)}
-    for row in scored.where(F.col(column).isin(languages) & F.col("_vote").isNotNull()).groupBy(column, "_vote").count().collect():
-        counts[place[row[0]], row[1]] += row[2]
-    smooth = counts + 0.5 + 4.5 * np.eye(len(languages))
-    logs = np.log(smooth / smooth.sum(axis=0))
-    out = _logs([0.0] * len(languages))
-    for lang, i in place.items():
-        out = F.when(F.col(column) == lang, _logs(logs[i])).otherwise(out)
-    return out
+def _fused(batch: pa.RecordBatch, size: int, everywhere: np.ndarray, stated: list[np.ndarray], strength: float) -> tuple[np.ndarray, np.ndarray]:
+    """Best language and its posterior for each row."""
+    rows = np.arange(batch.num_rows)
+    vote = batch.column("_vote").fill_null(-1).to_numpy()
+    votes, voting = np.zeros((len(rows), size)), vote >= 0
+    votes[rows[voting], vote[voting]] = 1
+    # from the most general level down: (votes without the own one + strength * prior above) / (sum + strength)
+    prior = np.full((len(rows), size), 1 / size)
+    for level in (None, "_on_suffix", "_on_domain", "_on_host"):
+        counted = everywhere if level is None else _dense(batch.column(level), "language", "n", size)
+        others = np.maximum(counted - votes, 0)
+        prior = (others + strength * prior) / (others.sum(axis=1, keepdims=True) + strength)
+    log = np.log(prior)
+    langs, score = batch.column("_langs"), batch.column("_score")
+    row = np.repeat(rows, pc.list_value_length(langs).to_numpy())
+    text = np.full((len(rows), size), -np.inf)
+    text[~voting] = 0
+    text[row, langs.flatten().to_numpy()] = score.flatten().to_numpy()
+    log += text
+    for place, totals in zip(("_said", "_placed"), stated, strict=True):
+        number = batch.column(place).fill_null(-1).to_numpy()
+        says = number >= 0
+        count = _dense(batch.column(f"{place}_votes"), "language", "n", size)[says] + 0.5
+        count[np.arange(len(count)), number[says]] += 4.5
+        log[says] += np.log(count / (totals + 0.5 * size + 4.5))
+    best = log.argmax(axis=1)
+    return best, 1 / np.exp(log - log[rows, best][:, None]).sum(axis=1)
 
 
 def identify(evidence: DataFrame, model: TextModel, id_col: str, *, min_confidence: float = MIN_CONFIDENCE, prior_strength: float = PRIOR_STRENGTH) -> DataFrame:
@@ -211,15 +305,16 @@ def identify(evidence: DataFrame, model: TextModel, id_col: str, *, min_confiden
     the whole text, and the likelihoods of the declared and the address's language, whose reliability
     is counted over all rows. The host's prior comes from the text decisions of its other rows, with
     its domain, its suffix and all rows as fall-backs, each level smoothed by the next; all are
-    grouped sums, joined back by host, and a row's own vote is taken out.
+    grouped sums, joined back by host, and a row's own vote is taken out. Votes are counted one row per
+    (host, language), so neither the plan nor the driver grows with the languages, but for one number each.
 
     A text without letters gives no vote and no text evidence and is rejected, as is a posterior below
     ``min_confidence``; so are null and empty texts. Null or unknown declarations are no evidence. A
     null or empty host is a host of its own. Ties go to the language first in the alphabet. Repeated
-    rows and null ids stay rows. With a model that knows no language all are rejected.
+    rows and null ids stay rows, an empty table gives an empty result. With a model that knows no
+    language all are rejected.
     """
-    languages = model.languages
-    size = len(languages)
+    size = len(model.languages)
     if not size:
         none = F.lit(None).cast("string")
         return evidence.select(
@@ -227,59 +322,48 @@ def identify(evidence: DataFrame, model: TextModel, id_col: str, *, min_confiden
             F.col("_declared").alias("declared_language"), F.col("_address").alias("address_language"), F.col("_host").alias("host"),
             F.lit(0).cast("long").alias("letters"), F.lit(False).alias("accepted"),
         )
+    spark = evidence.sparkSession
+    languages = _language_table(spark, model.languages)
     scored = cut(_scored(evidence, model))
-    declared, address = (_reliability(scored, c, languages) for c in ("_declared", "_address"))
-
-    whole = scored.agg(*_votes(size)).first()
-    everywhere = [float(whole[i] or 0) for i in range(size)]
-    names = [f"_v{i}" for i in range(size)]
-    hosts = scored.groupBy("_host").agg(*_votes(size))
-    hosts = hosts.withColumn("_domain", F.regexp_extract("_host", r"([^.]+\.[^.]+)$", 1)).withColumn(
-        "_suffix", F.regexp_extract("_host", r"([^.]+)$", 1)
-    )
-    levels = hosts.select("_host", "_domain", "_suffix", F.array(*names).alias("_on_host"))
-    for level in ("_domain", "_suffix"):
-        sums = hosts.groupBy(level).agg(F.array(*[F.sum(n) for n in names]).alias(f"_on{level}"))
-        levels = levels.join(sums, level)
+    declared, of_declared = _statements(scored, "_declared", languages, "_said")
+    address, of_address = _statements(scored, "_address", languages, "_placed")
+    everywhere = {r["_vote"]: r["_n"] for r in scored.groupBy("_vote").agg(F.count(F.lit(1)).alias("_n")).collect() if r["_vote"] is not None}
     # stored, so that both sides of the join are shuffled for it and a hot host's rows can be split
-    levels = stored(levels.select("_host", "_on_host", "_on_domain", "_on_suffix"))
-    rows = scored.join(levels, "_host", "left")
+    hosts = stored(_host_votes(scored)).withColumnRenamed("_host", "_on")
+    rows = scored.join(hosts, F.col("_host").eqNullSafe(F.col("_on")), "left").join(declared, "_declared", "left").join(address, "_address", "left")
+    vectors = [np.array([found.get(i, 0) for i in range(size)], float) for found in (everywhere, of_declared, of_address)]
+    needed = ["_vote", "_langs", "_score", "_on_suffix", "_on_domain", "_on_host", "_said", "_said_votes", "_placed", "_placed_votes"]
+    passed = ["_id", "_declared", "_address", "_host", "_letters"]
 
-    # from the most general level down: (votes without the own one + strength * prior above) / (sum + strength)
-    own = [F.when(F.col("_vote") == i, 1.0).otherwise(0.0) for i in range(size)]
-    prior = [F.lit(1.0 / size)] * size
-    for step, votes in enumerate((_logs(everywhere), F.col("_on_suffix"), F.col("_on_domain"), F.col("_on_host"))):
-        kept = f"_prior{step}"
-        total = sum((F.greatest(votes[i] - own[i], F.lit(0.0)) for i in range(size)), F.lit(0.0))
-        rows = rows.withColumn(
-            kept,
-            F.array(*[(F.greatest(votes[i] - own[i], F.lit(0.0)) + prior_strength * prior[i]) / (total + prior_strength) for i in range(size)]),
-        )
-        prior = [F.col(kept)[i] for i in range(size)]
-    rows = rows.withColumn("_says", declared).withColumn("_where", address)
-    text = F.when(F.col("_letters") > 0, F.col("_score")).otherwise(_logs([0.0] * size))
-    rows = rows.withColumn(
-        "_log", F.array(*[text[i] + F.log(prior[i]) + F.col("_says")[i] + F.col("_where")[i] for i in range(size)])
-    )
-    # the largest with its place, the first of equals
-    placed = F.transform("_log", lambda x, i: F.struct(x.alias("log"), (-i).alias("place")))
-    rows = rows.withColumn("_top", F.array_max(placed))
-    rows = rows.withColumn(
-        "confidence", 1.0 / F.aggregate("_log", F.lit(0.0), lambda total, x: total + F.exp(x - F.col("_top.log")))
-    )
-    named = _names(languages)
-    return rows.select(
-        F.col("_id").alias(id_col),
-        named[-F.col("_top.place")].alias("language"),
-        "confidence",
-        F.get(named, F.col("_vote")).alias("text_language"),
-        F.when(F.col("_declared").isin(languages), F.col("_declared")).alias("declared_language"),
-        F.when(F.col("_address").isin(languages), F.col("_address")).alias("address_language"),
-        F.col("_host").alias("host"),
-        F.col("_letters").alias("letters"),
-        ((F.col("_letters") > 0) & (F.col("confidence") >= min_confidence)).alias("accepted"),
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = pa.array(model.languages, pa.string())
+        for whole in batches:
+            step = max(1, _CHUNK // size)
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
+                best, confidence = _fused(batch, size, vectors[0], vectors[1:], prior_strength)
+                letters = batch.column("_letters").to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("_id"),
+                        names.take(pa.array(best)),
+                        pa.array(confidence),
+                        names.take(batch.column("_vote")),
+                        names.take(batch.column("_said")),
+                        names.take(batch.column("_placed")),
+                        batch.column("_host"),
+                        batch.column("_letters"),
+                        pa.array((letters > 0) & (confidence >= min_confidence)),
+                    ],
+                    names=["_id", "language", "confidence", "text_language", "declared_language", "address_language", "host", "letters", "accepted"],
+                )
+
+    kind = evidence.schema["_id"].dataType.simpleString()
+    strings = "language string, confidence double, text_language string, declared_language string, address_language string, host string"
+    fused = rows.select(*passed, *needed).mapInArrow(run, f"_id {kind}, {strings}, letters long, accepted boolean")
+    return fused.withColumnRenamed("_id", id_col)
 
 
-def _names(languages: list[str]) -> Column:
-    return F.array(*[F.lit(x) for x in languages])
+def _language_table(spark: SparkSession, languages: list[str]) -> DataFrame:
+    named = spark.createDataFrame([(name, i) for i, name in enumerate(languages)], "_name string, _number int")
+    return F.broadcast(named) if len(languages) <= BROADCAST_COUNTS else named

@@ -1,8 +1,10 @@
+import math
 import random
 
 import numpy as np
 import pytest
 
+import seasonframe.llm.language as module
 from seasonframe.llm.language import BUCKETS, document_evidence, identify, page_evidence, train_text_model
 
 WORDS = {
@@ -80,17 +82,86 @@ def test_a_rare_label_is_a_language(spark):
     assert [(got[i].language, got[i].declared_language) for i in (1, 2)] == [("de", "de"), ("fr", "fr")]
     assert got[2].address_language == "fr"
     again = train_text_model(labelled.repartition(7), sample_docs=20)
-    assert (again.weights == model.weights).all()
+    for part in ("floor", "starts", "language", "above"):
+        assert (getattr(again, part) == getattr(model, part)).all()
 
 
 def test_the_sample_is_bounded_for_each_label(spark):
     rows = [(i, "abc", lang) for i in range(400) for lang in ("aa", "bb")] + [(1, "abc", "aa")] * 300 + [(i, "abc", "cc") for i in range(3)]
     labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     for docs in (1, 10):
-        weights = train_text_model(labelled, sample_docs=docs).weights
+        model = train_text_model(labelled, sample_docs=docs)
         # each document has three triples, counted over 0.2 in every bucket
         for i, n in enumerate((docs, docs, min(docs, 3))):
-            assert np.exp(weights[:, i]).max() == pytest.approx((n + 0.2) / (3 * n + 0.2 * BUCKETS))
+            most = model.floor[i] + model.above[model.language == i].max()
+            assert np.exp(most) == pytest.approx((n + 0.2) / (3 * n + 0.2 * BUCKETS))
+
+
+def test_all_samples_together_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(module, "SAMPLE_TOTAL", 40)
+    rows = [(i, "abc", f"l{i % 10}") for i in range(400)] + [(1000 + i, "abc", f"rare{i}") for i in range(10)]
+    model = train_text_model(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    counts = np.exp(model.above) * module.SMOOTH - module.SMOOTH  # per label: each of its triples once a document
+    assert len(model.languages) == 20 and counts.max() == pytest.approx(2)
+    assert all(counts[model.language == i].sum() == pytest.approx(3 if name.startswith("rare") else 6) for i, name in enumerate(model.languages))
+
+
+def plain_posterior(rows, model):
+    """The fused posterior in plain loops: rows of (text, declared, address, host)."""
+    size, index = len(model.languages), {x: i for i, x in enumerate(model.languages)}
+    scores = [model.scores([text]) for text, *_ in rows]
+    votes = [int(s[0].argmax()) if n[0] else None for s, n in scores]
+
+    def domain(host):
+        return ".".join(host.split(".")[-2:]) if "." in host else ""
+
+    def suffix(host):
+        return host.split(".")[-1]
+
+    def says(column, stated):
+        counts = [[0.5 + 4.5 * (i == j) for j in range(size)] for i in range(size)]
+        for row, vote in zip(rows, votes, strict=True):
+            if vote is not None and row[column] in index:
+                counts[index[row[column]]][vote] += 1
+        return [math.log(counts[index[stated]][j] / sum(counts[i][j] for i in range(size))) if stated in index else 0.0 for j in range(size)]
+
+    found = []
+    for at, (_, declared, address, host) in enumerate(rows):
+        prior = [1 / size] * size
+        for same in (lambda h: True, lambda h: suffix(h) == suffix(host), lambda h: domain(h) == domain(host), lambda h: h == host):
+            others = [sum(votes[k] == i for k in range(len(rows)) if k != at and same(rows[k][3])) for i in range(size)]
+            prior = [(n + 20 * p) / (sum(others) + 20) for n, p in zip(others, prior, strict=True)]
+        text = module.TEXT_WEIGHT * (scores[at][0][0] - scores[at][0][0].max()) if votes[at] is not None else [0.0] * size
+        log = [text[i] + math.log(prior[i]) + a + b for i, a, b in zip(range(size), says(1, declared), says(2, address), strict=True)]
+        best = max(range(size), key=lambda i: (log[i], -i))
+        found.append((model.languages[best], 1 / sum(math.exp(x - log[best]) for x in log)))
+    return found
+
+
+def test_prior_and_posterior_equal_plain_loops(spark):
+    rng = random.Random(12)
+    words = WORDS | {"it": "il la che di e un non per una sono con mi".split(), "nl": "de het een van ik te dat die in je niet zijn".split()}
+    labelled = [(i, " ".join(rng.choice(words[lang]) for _ in range(20)), lang) for i, lang in enumerate(list(words) * 30)]
+    model = train_text_model(spark.createDataFrame(labelled, "doc_id long, text string, lang string"))
+    hosts = ["a.one.example.org", "b.one.example.org", "two.example.it", "localhost", ""]
+    rows = []
+    for _ in range(150):
+        lang, host = rng.choice(list(words)), rng.choice(hosts[:3] * 4 + hosts)
+        text = " ".join(rng.choice(words[lang]) for _ in range(rng.choice([0, 1, 2, 30])))
+        rows.append((text, rng.choice([lang, lang, "en", "xx", None]), rng.choice([lang, None, None, "fr"]), host))
+    evidence = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "_id long, _text string, _declared string, _address string, _host string")
+    got = {r.i: r for r in identify(evidence, model, "i").collect()}
+    for i, (language, confidence) in enumerate(plain_posterior(rows, model)):
+        assert got[i].language == language and got[i].confidence == pytest.approx(confidence, rel=1e-9), rows[i]
+
+
+def test_many_labels_cost_no_more_plan(spark):
+    rows = [(i, f"word{'abcdefghijklmnopqrst'[i % 20]}{'uvwxyzabcd'[i // 20 % 10]} text", f"l{i % 200}") for i in range(800)]
+    docs = spark.createDataFrame([(*r, "src") for r in rows], "doc_id long, text string, lang string, source string")
+    model = train_text_model(docs)
+    assert len(model.languages) == 200 and len(model.above) < 200 * 60
+    decided = identify(document_evidence(docs), model, "doc_id").where("accepted")
+    assert decided.where("language = declared_language").count() > 700
 
 
 def test_held_out_accuracy(spark):
