@@ -223,26 +223,29 @@ def near_vectors(
         F.col(id_col).alias("_id"), F.col(group_col).alias("_group"), F.col(vector_col).alias("_vector")
     )
     usable = _usable(F.col("_vector")) & F.col("_group").isNotNull() & F.col("_id").isNotNull()
+    # numbered where the checkpoint is written: an id may stand on different vectors
     classes = cut(
         chosen.where(usable)
         .groupBy("_group", "_vector")
-        .agg(F.min("_id").alias("_rep"), F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_width", F.size("_vector"))
+        .agg(F.min("_id").alias("_least"), F.count(F.lit(1)).alias("_copies"))
+        .withColumns({"_rep": F.monotonically_increasing_id(), "_width": F.size("_vector")})
     )
-    found = cut(_links(_bucket_rows(classes, tables, functions), cosine, tables, functions, slice_rows))
+    found = cut(_links(_bucket_rows(classes.drop("_least"), tables, functions), cosine, tables, functions, slice_rows))
     links = found.groupBy("_rep").agg(F.sum("_n").alias("_n"))
-    component = connected_components(found, "_rep", "_to")
+    component = cut(connected_components(found, "_rep", "_to"))
+    least = classes.select(F.col("_rep").alias("node"), "_least").join(component, "node").groupBy("component").agg(F.min("_least").alias("_smallest"))
+    named = component.join(least, "component").select("node", "_smallest")
     known = (
         classes.join(links, "_rep", "left")
-        .join(component, F.col("_rep") == component["node"], "left")
-        .select("_group", "_vector", "_rep", "_copies", "_n", "component")
+        .join(named, F.col("_rep") == F.col("node"), "left")
+        .select("_group", "_vector", "_copies", "_n", F.coalesce("_smallest", "_least").alias("component"))
     )
     same = (
         chosen.withColumn("_key", F.when(usable, F.col("_vector")))
         .alias("a")
         .join(known.alias("k"), (F.col("a._group") == F.col("k._group")) & (F.col("a._key") == F.col("k._vector")), "left")
     )
-    component_id = F.coalesce(F.col("k.component"), F.col("k._rep"), F.col("a._id"))
+    component_id = F.coalesce(F.col("k.component"), F.col("a._id"))
     return same.select(
         F.col("a._id").alias(id_col),
         (F.coalesce(F.col("k._copies") - 1, F.lit(0)) + F.coalesce(F.col("k._n"), F.lit(0))).cast("long").alias("n_links"),

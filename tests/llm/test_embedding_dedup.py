@@ -73,3 +73,18 @@ def test_transform_is_orthogonal():
 
 def test_empty_table(spark):
     assert near_vectors(table(spark, [])).collect() == []
+
+
+def test_an_id_on_different_vectors(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(6, 24))
+    rows = [(int(rng.integers(0, 12)), (base[i % 6] + 0.04 * rng.normal(size=24)).astype(np.float32).tolist(), 0) for i in range(60)]
+    rows += [(1, rows[0][1], 0), (1, rows[1][1], 0), (1, rows[0][1], 0)]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    unit = np.array([r[1] for r in rows], float)
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    near = unit @ unit.T >= 0.98
+    np.fill_diagonal(near, False)
+    reach = np.linalg.matrix_power((near | np.eye(len(rows), dtype=bool)).astype(float), 64) > 0
+    want = sorted((rows[i][0], int(near[i].sum()), min(rows[j][0] for j in np.flatnonzero(reach[i]))) for i in range(len(rows)))
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == want
