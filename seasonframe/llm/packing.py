@@ -94,7 +94,7 @@ def pack(
     """``keys`` and ``length_col`` of each row with ``sequence_id`` and ``offset``, in few sequences.
 
     ``keys`` name a row. Lengths are from 1 to ``capacity``; others raise. Rows are dealt by the hash
-    of their key to partitions of about ``part_rows`` and each is packed longest first, best fit. A
+    of their key and a number of their own to partitions of about ``part_rows`` and each is packed longest first, best fit. A
     partition whose bin count equals its lower bound is certified and stays. The others keep their
     full bins, exchange the documents of the rest and pack again, for up to ``rounds`` rounds or
     until a round saves no bin. Every row keeps a place; rows that repeat a key are placed as rows of
@@ -102,6 +102,9 @@ def pack(
     """
     names = [f"_k{i}" for i in range(len(keys))]
     pool = pieces.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(length_col).cast("long").alias("_length"))
+    # numbered where the checkpoint is written, so that rows that repeat a key are dealt apart
+    pool = cut(pool.withColumn("_row", F.monotonically_increasing_id()))
+    names = [*names, "_row"]
     pool = pool.withColumn(
         "_length",
         F.when(F.col("_length").between(1, capacity), F.col("_length")).otherwise(
@@ -133,7 +136,7 @@ def pack(
     for more in settled[1:]:
         result = result.unionByName(more)
     return result.select(
-        *[F.col(n).alias(k) for k, n in zip(keys, names, strict=True)],
+        *[F.col(n).alias(k) for k, n in zip(keys, names, strict=False)],
         F.col("_length").alias(length_col),
         F.col("_bin").alias("sequence_id"),
         F.col("_offset").alias("offset"),
@@ -243,9 +246,9 @@ def pack_documents(
     Documents are encoded by the tokenizer file (strings of special tokens in a text give their ids)
     and end with ``end_id``. Longer ones than ``capacity`` are cut, with the short piece first. Join
     ``token_pieces`` on the id and piece for the ids themselves. Null texts count as empty; a null id
-    and repeated rows are packed like any other. Extra columns are ignored.
+    and repeated rows are packed like any other, and rows that repeat are dealt apart. An empty table
+    gives an empty result. Extra columns are ignored.
     """
     pieces = token_pieces(docs, tokenizer, id_col, text_col, capacity=capacity, end_id=end_id, with_ids=False)
-    digests = cut(pieces.withColumnRenamed(id_col, "_id"))
-    placed = pack(digests, ["_id", "piece", "start", "ids_crc32"], capacity=capacity, part_rows=part_rows, rounds=rounds)
+    placed = pack(pieces.withColumnRenamed(id_col, "_id"), ["_id", "piece", "start", "ids_crc32"], capacity=capacity, part_rows=part_rows, rounds=rounds)
     return placed.select(F.col("_id").alias(id_col), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

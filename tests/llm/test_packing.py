@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from seasonframe.llm.packing import best_fit_decreasing, lower_bound, pack, pack_documents, token_pieces
@@ -98,3 +99,11 @@ def test_white_space_of_every_length_gives_the_tokenizers_ids():
 
 def test_empty_table(documents):
     assert pack_documents(documents([]), PATH).collect() == []
+
+
+def test_equal_rows_are_dealt_to_all_partitions(spark):
+    rows = spark.range(20_000).select(F.lit(1).alias("id"), F.lit(600).alias("length"))
+    packed = pack(rows, ["id"], part_rows=1000, rounds=0)
+    assert packed.count() == 20_000
+    # the partition is part of a sequence's number
+    assert packed.select((F.shiftright("sequence_id", 28)).alias("part")).distinct().count() == 20
