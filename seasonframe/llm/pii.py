@@ -23,8 +23,9 @@ SAMPLE_DOCS = 4000
 MAX_ROUNDS = 50
 TOLERANCE = 1e-4
 DAMPING = 0.3
-#: A mention that breaks its kind's rule starts below even odds: log odds against any kind, at least.
-DOUBT = 1.0
+#: Counts that a mention is taken to start with: a number that breaks its rule and has no twin that keeps one,
+#: and an address of letters that is one.
+LONE_NUMBERS, PLAIN_ADDRESSES = 10, 20
 #: Log odds that a span found by rule has its kind.
 CERTAIN = 12.0
 #: Digits at the end that make two numbers similar.
@@ -36,9 +37,11 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NUMBER = re.compile(r"[+(]?[0-9](?:[\x20().-]{0,2}[0-9])+")
+_AT = re.compile(r"[\[(]\s?at\s?[\])]", re.IGNORECASE)
+#: A bare dot joins two labels only where nothing stands beside it, otherwise it ends a sentence.
 _SPOKEN = re.compile(
     r"[A-Za-z0-9._%+-]{1,64}\s{0,3}[\[(]\s?at\s?[\])]\s{0,3}[A-Za-z0-9-]{1,63}"
-    r"(?:\s{0,3}(?:\.|[\[(]\s?dot\s?[\])])\s{0,3}[A-Za-z0-9-]{1,63}){1,8}",
+    r"(?:(?:\.|\s{0,3}[\[(]\s?dot\s?[\])]\s{0,3})[A-Za-z0-9-]{1,63}){1,8}",
     re.IGNORECASE,
 )
 _DIGIT = re.compile("[0-9]")
@@ -101,11 +104,15 @@ def _merged(spans: Iterable[Span]) -> list[tuple[int, int]]:
 
 def other_mentions(text: str, spans: list[Span]) -> list[tuple[int, int]]:
     """Numbers of some length and spelt-out addresses that no rule took."""
+    digits, spoken = _DIGIT.search(text), _AT.search(text)
+    if not digits and not spoken:
+        return []
     taken, found, at = _merged(spans), [], 0
     for start, end in [*taken, (len(text), len(text))]:
         if start > at:
-            found += [(m.start(), m.end()) for m in _NUMBER.finditer(text, at, start)]
-            if "at" in text or "AT" in text:
+            if digits:
+                found += [(m.start(), m.end()) for m in _NUMBER.finditer(text, at, start)]
+            if spoken:
                 found += [(m.start(), m.end()) for m in _SPOKEN.finditer(text, at, start)]
         at = max(at, end)
     kept: list[tuple[int, int]] = []
@@ -143,12 +150,17 @@ class Field:
     local: dict[str, np.ndarray]  # shape -> log weight of each label
     step: np.ndarray  # label of a mention -> label of the next
     skip: float  # weight of one label for mentions that share a key
+    doubt: float  # log odds against any kind for a number that breaks its rule
 
     def evidence(self, mention: str) -> np.ndarray:
-        """Log weights of a mention that no rule took: never in favour of a kind by themselves."""
-        even = np.zeros(1 + len(KINDS))
-        own = self.local.get(shape(mention), even).copy()
-        own[1:] = np.minimum(own[1:], own[0] - DOUBT)
+        """Log weights of a mention that no rule took.
+
+        A spelt-out address breaks no rule of its kind, so it is taken as an address of its shape; a
+        number does, and is doubted as much as such numbers are without a twin in the sample.
+        """
+        own = self.local.get(shape(mention), np.zeros(1 + len(KINDS))).copy()
+        if shape(mention) != "letters":
+            own[1:] -= self.doubt
         return own
 
 
@@ -158,6 +170,8 @@ def field_from_counts(counts: dict[tuple[str, str], int]) -> Field:
     by_shape: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(size))
     steps = np.zeros((size, size))
     agree = differ = 0
+    twins, alone = 0, LONE_NUMBERS
+    by_shape["letters"][1] = PLAIN_ADDRESSES
     for (what, value), n in counts.items():
         if what == "shape":
             name, _, label = value.rpartition("/")
@@ -165,6 +179,8 @@ def field_from_counts(counts: dict[tuple[str, str], int]) -> Field:
         elif what == "step":
             before, _, after = value.partition("/")
             steps[int(before), int(after)] += n
+        elif what == "number":
+            twins, alone = (twins + n, alone) if value == "twin" else (twins, alone + n)
         elif value == "same":
             agree += n
         else:
@@ -172,18 +188,27 @@ def field_from_counts(counts: dict[tuple[str, str], int]) -> Field:
     local = {name: np.log((n + 1) / (n.sum() + size)) for name, n in by_shape.items()}
     step = np.log((steps + 10) / (steps.sum(axis=1, keepdims=True) + 10 * size))
     step -= step.mean(axis=1, keepdims=True)
-    return Field(local, 0.25 * step, float(np.clip(np.log((agree + 20) / (differ + 1)), 2.0, 6.0)))
+    skip = float(np.clip(np.log((agree + 20) / (differ + 1)), 2.0, 6.0))
+    return Field(local, 0.25 * step, skip, float(np.log((alone + 1) / (twins + 1))))
 
 
 def count_evidence(text: str) -> Counter[tuple[str, str]]:
-    """Shapes, label steps and agreement of a document's mentions, labelled by rule."""
+    """Shapes, label steps and agreement of a document's mentions, labelled by rule.
+
+    The rules say nothing of spelt-out addresses, so those are left out. Numbers that break their rule
+    are counted by whether they repeat or resemble one that a rule found in the document.
+    """
     spans = rule_spans(text)
-    found = sorted([(a, b, 1 + k) for k, a, b in spans] + [(a, b, 0) for a, b in other_mentions(text, spans)])
+    others = [(a, b, 0) for a, b in other_mentions(text, spans) if shape(text[a:b]) != "letters"]
+    found = sorted([(a, b, 1 + k) for k, a, b in spans] + others)
     counts: Counter[tuple[str, str]] = Counter()
+    ruled = {key for _, a, b in spans for key in similarity_keys(text[a:b])}
     last_of: dict[str, int] = {}
     before = None
     for a, b, label in found:
         counts["shape", f"{shape(text[a:b])}/{label}"] += 1
+        if not label:
+            counts["number", "twin" if ruled.intersection(similarity_keys(text[a:b])) else "alone"] += 1
         if before is not None:
             counts["step", f"{before}/{label}"] += 1
         before = label
@@ -234,7 +259,7 @@ def field_spans(texts: list[str], spans: list[list[Span]], field: Field) -> list
     or similar digits or address also meet in a node of their own, however far apart they are:
     through it they share one potential, with as many edges as mentions. Documents are
     independent, and one pass of messages serves many. A document needs no inference where the rules
-    found nothing (nothing then speaks for any kind) or left no mention.
+    left no mention. Messages that have not settled after ``MAX_ROUNDS`` rounds are used as they are.
     """
     local: list[np.ndarray] = []
     chain: list[tuple[int, int]] = []
@@ -242,7 +267,7 @@ def field_spans(texts: list[str], spans: list[list[Span]], field: Field) -> list
     open_nodes: list[tuple[int, int, int, int]] = []
     size = 1 + len(KINDS)
     for row, text in enumerate(texts):
-        others = other_mentions(text, spans[row]) if spans[row] else []
+        others = other_mentions(text, spans[row])
         if not others:
             continue
         hubs: dict[str, int] = {}
@@ -325,9 +350,10 @@ def find_personal_data(
 ) -> DataFrame:
     """``id_col, spans`` per row; spans: kind, start, end (code points, end exclusive) and ``by_rule``.
 
-    The rules' spans always stay. The field adds mentions that break a rule but repeat or resemble
-    what a rule found in the same document. A null text counts as empty and has no span; a null id and
-    repeated rows are handled as rows of their own. Extra columns are ignored.
+    The rules' spans always stay. The field adds spelt-out addresses, and numbers that break a rule but
+    repeat or resemble what a rule found in the same document. A null text counts as empty and has no
+    span; a null id and repeated rows are handled as rows of their own. An empty table gives an empty
+    result. Extra columns are ignored.
     """
     weights = field or train(docs, id_col, text_col, sample_docs=sample_docs)
 
@@ -360,7 +386,8 @@ def redact(
     """The input with every span of personal data replaced by its kind, as in ``[EMAIL]``.
 
     Overlapping spans become one mark, named after the one that starts first. All columns stay, a
-    null text stays null, and a text without a span is unchanged.
+    null text stays null, and a text without a span is unchanged. Null ids and repeated rows are rows
+    like any other; an empty table stays empty.
     """
     weights = field or train(docs, id_col, text_col, sample_docs=sample_docs)
     place = docs.columns.index(text_col)

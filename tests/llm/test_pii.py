@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 
-from seasonframe.llm.pii import Field, field_from_counts, find_personal_data, pass_messages, redact, rule_spans
+from seasonframe.llm.pii import Field, count_evidence, field_from_counts, find_personal_data, pass_messages, redact, rule_spans
 
 RNG = random.Random(2)
 PIECES = ["a.b@c.de", "x@y", "@", "a@b.c@d.e.f", "1.2.3.4", "256.1.1.1", "1.2.3.4.5.6.7.8", "4111 1111 1111 1111", "4111-1111-1111-1112",
@@ -73,6 +73,27 @@ def test_distant_repetitions_take_the_label_of_the_rule(documents):
     assert got[None] == [("phone", 0, 15, True)]
 
 
+def test_a_spoken_address_ends_with_its_sentence(documents):
+    spoken = "jane (at) corp (dot) com"
+    rows = [(1, f"Write to {spoken}. Really. Or to {spoken}. Or {spoken}"), (2, f"jane@corp.com or {spoken}. Really"), (3, "joe[at]mail.example.org. Next"), (4, "look (at) this. It (dot) ends")]
+    docs = documents([*rows, (5, "plain words"), (6, None)])
+    for options in ({}, {"field": plain_field()}):
+        got = found(docs, **options)
+        texts = {i: [t[a:b] for _, a, b, _ in got[i]] for i, t in rows}
+        assert texts == {1: [spoken] * 3, 2: ["jane@corp.com", spoken], 3: ["joe[at]mail.example.org"], 4: []}
+        assert got[5] == got[6] == []
+    out = {r.doc_id: r.text for r in redact(docs, field=plain_field()).collect()}
+    assert out[1] == "Write to [EMAIL]. Really. Or to [EMAIL]. Or [EMAIL]"
+    assert out[2] == "[EMAIL] or [EMAIL]. Really" and out[3] == "[EMAIL]. Next"
+
+
+def test_lone_numbers_are_doubted_by_what_the_sample_shows():
+    plain, twinned = (count_evidence(t) for t in ("call 49 170 1234567 now", "call +49 170 1234567 or 49 170 1234567 now"))
+    alone, both = (field_from_counts({k: 40 * n for k, n in c.items()}) for c in (plain, twinned))
+    assert alone.doubt > 3 and both.doubt < 0
+    assert alone.evidence("49 170 1234567").argmax() == 0
+
+
 def test_trained_weights_keep_rules_and_leave_clean_texts(documents):
     rows = [(i, f"name {i} wrote to u{i}@host.org from 10.0.0.{i % 250} and +49 170 12345{i:02d}") for i in range(60)]
     rows += [(100 + i, f"the year 1999 and chapter {i}.2.3, order 12345678 of {i}") for i in range(60)]
