@@ -130,15 +130,35 @@ def exact_ratio(num: Column, den: Column, digits: int = 2, percent: bool = False
     seen through a binary fraction. ``scale`` is the number of decimal places that the
     inputs carry (0 for whole numbers). A quotient of up to 30 digits is exact; where the
     work needs more than 38 digits there is an error, never a wrapped number.
+
+    Numbers that leave room in 64 bits, nearly all, take one whole-number division; only the others
+    are divided as decimals.
     """
     if not 0 <= digits <= MAX_PLACES:
         raise ValueError(f"digits must be from 0 to {MAX_PLACES}")
+    factor = (100 if percent else 1) * 10**digits
+    kind = T.DecimalType(38, digits)
+    a, b = (_small_units(c, scale) for c in (num, den))
+    room = 10**18 // (2 * factor) - 1
+    fits = (F.abs(a) <= F.lit(room)) & (F.abs(b) <= F.lit(10**17))
+    short = F.call_function("div", F.abs(a) * F.lit(2 * factor) + F.abs(b), F.nullif(F.abs(b) * F.lit(2), F.lit(0)))
+    short = F.when((a < 0) != (b < 0), -short).otherwise(short)
+    step = F.lit(Decimal(1).scaleb(-digits))
+    return F.when(fits, (short.cast(T.DecimalType(18, 0)) * step).cast(kind)).otherwise(_long_ratio(num, den, digits, factor, scale))
+
+
+def _small_units(value: Column, scale: int) -> Column:
+    """The number in its smallest unit as a bigint, or NULL where it is none."""
+    return (value if not scale else _units(value, scale)).try_cast("bigint")
+
+
+def _long_ratio(num: Column, den: Column, digits: int, factor: int, scale: int) -> Column:
+    """The same on decimals of 38 digits, or an error."""
     n, d = (_units(c, scale) for c in (num, den))
     x, y = F.abs(n), _zero_free(F.abs(d))
-    factor = Decimal((100 if percent else 1) * 10**digits)
     # the whole part first, so that only the rest, below y, is scaled up
-    rounded = _whole_quotient(x % y * F.lit(2 * factor) + y, y * F.lit(2))
-    units = (_whole_quotient(x, y) * F.lit(factor) + rounded).cast(_WHOLE)
+    rounded = _whole_quotient(x % y * F.lit(Decimal(2 * factor)) + y, y * F.lit(2))
+    units = (_whole_quotient(x, y) * F.lit(Decimal(factor)) + rounded).cast(_WHOLE)
     signed = F.when((n < 0) != (d < 0), -units).otherwise(units)
     kind = T.DecimalType(38, digits)
     step = Decimal(1).scaleb(-digits)

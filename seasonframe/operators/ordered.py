@@ -369,7 +369,7 @@ def over_distance(
     columns: Callable[[WindowSpec], dict[str, Column]],
     before: int,
     after: int,
-    periods_per_block: int = PERIODS_PER_BLOCK,
+    periods_per_block: int | None = PERIODS_PER_BLOCK,
 ) -> DataFrame:
     """Add window columns that reach ``before`` periods back and ``after`` ahead, by value.
 
@@ -377,10 +377,13 @@ def over_distance(
     ``rangeBetween``. Groups are cut into blocks of fixed period width, which bounds the
     rows per block without any sampling; a block also receives copies of the rows its edge
     frames reach. Rows without a period form a block of their own and see only each other,
-    as in a plain window.
+    as in a plain window. None: the periods bound a group's length, so a plain window does.
     """
     require_columns(df, partition_by, period)
     sort = SortKey(period).sort()
+    if periods_per_block is None:
+        w = Window.partitionBy(*partition_by).orderBy(sort)
+        return df.select("*", *(c.alias(n) for n, c in columns(w).items()))
     size = max(periods_per_block, before + 1, after + 1)
     value = F.col(period).cast("bigint")
     offset = F.pmod(value, F.lit(size))

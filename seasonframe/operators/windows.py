@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from seasonframe.functions import as_names, decimal_places, exact_ratio, join_on_same, require_columns, sort_keys
 from seasonframe.operators.ordered import (
     GROUP_LIMIT,
+    PERIODS_PER_BLOCK,
     ROWS_PER_SLICE,
     has_few_periods,
     over_distance,
@@ -237,7 +238,9 @@ def centered_anomaly(
 
     if mode == "range":
         _require_whole_number(df, period)
-        framed = over_distance(series, group, period, lambda w: stats(w.rangeBetween(-before, after)), before, after)
+        framed = over_distance(
+            series, group, period, lambda w: stats(w.rangeBetween(-before, after)), before, after, None if slice_rows is None else PERIODS_PER_BLOCK
+        )
     elif mode == "rows":
         framed = over_neighbours(
             series, group, period, lambda w: stats(w.rowsBetween(-before, after)), before, after, slice_rows
@@ -384,6 +387,7 @@ def before_after(
             lambda w: stretches({"pre": w.rangeBetween(-pre, -1), "post": w.rangeBetween(low, high)}),
             pre,
             high,
+            None if has_few_periods(df, period, calendar) else PERIODS_PER_BLOCK,
         )
     elif mode == "rows":
         framed = over_neighbours(
