@@ -8,6 +8,7 @@ from seasonframe.operators.cohorts import (
     members_of_all,
     single_group_members,
 )
+from seasonframe.operators.intervals import range_join, range_totals
 from seasonframe.operators.ordered import add_ranks, over_neighbours, prefix_sums
 from seasonframe.operators.ranking import extreme_row, leader_overlap, peak_in_period, rank_tally, rankings
 from seasonframe.operators.totals import (
@@ -49,6 +50,8 @@ __all__ = [
     "peak_in_period",
     "period_bins",
     "prefix_sums",
+    "range_join",
+    "range_totals",
     "rank_tally",
     "rankings",
     "repeat_threshold",

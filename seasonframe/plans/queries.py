@@ -1003,6 +1003,78 @@ def orders_before_after_by_row(spark, directory):
     )
 
 
+# Ranges -----------------------------------------------------------------------------
+
+
+@query(
+    f"""WITH {BAT}, careers AS (
+        SELECT o_custkey AS pid, min(o_orderdate) AS first_day, max(o_orderdate) AS last_day FROM orders GROUP BY o_custkey)
+    SELECT {big('careers.pid AS pid', 'count(o_orderkey) AS orders_meanwhile', 'sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents_meanwhile')}
+    FROM careers LEFT JOIN orders ON o_orderdate BETWEEN first_day AND last_day GROUP BY careers.pid"""
+)
+def orders_during_careers(spark, directory):
+    """All customers' orders from each customer's first day to the last: ranges of any width that overlap."""
+    orders = read_table(spark, directory, "orders")
+    careers = orders.groupBy(F.col("o_custkey").alias("pid")).agg(
+        F.min("o_orderdate").alias("first_day"), F.max("o_orderdate").alias("last_day")
+    )
+    facts = orders.select("o_orderdate", cents("o_totalprice").alias("cents"))
+    totals = op.range_totals(facts, careers, "o_orderdate", "first_day", "last_day", {"cents_meanwhile": "cents"}, count="orders_meanwhile")
+    return totals.select("pid", "orders_meanwhile", "cents_meanwhile")
+
+
+@query(
+    f"""WITH bands AS (
+        SELECT s_suppkey, CAST(round(s_acctbal * 100) AS BIGINT) - s_suppkey % 7 * 1000 AS low,
+               CAST(round(s_acctbal * 100) AS BIGINT) + s_suppkey % 5 * 2000 AS high FROM supplier),
+    people AS (SELECT c_custkey, CAST(round(c_acctbal * 100) AS BIGINT) AS balance FROM customer)
+    SELECT {big('s_suppkey', 'c_custkey', 'balance')} FROM bands LEFT JOIN people ON balance BETWEEN low AND high"""
+)
+def customers_in_balance_bands(spark, directory):
+    """Every supplier with the customers in a band around its balance, those without any included."""
+    balance = F.round(F.col("s_acctbal") * 100).cast("bigint")
+    bands = read_table(spark, directory, "supplier").select(
+        "s_suppkey", (balance - F.col("s_suppkey") % 7 * 1000).alias("low"), (balance + F.col("s_suppkey") % 5 * 2000).alias("high")
+    )
+    people = read_table(spark, directory, "customer").select("c_custkey", F.round(F.col("c_acctbal") * 100).cast("bigint").alias("balance"))
+    return op.range_join(people, bands, "balance", "low", "high", how="left").select("s_suppkey", "c_custkey", "balance")
+
+
+_FOLLOW_SQL = f"""WITH spans AS (
+        SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) + 1 AS low, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 400 AS INTEGER) AS high FROM orders),
+    later AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderkey AS next_key, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)"""
+
+
+def _spans(spark, directory):
+    orders = read_table(spark, directory, "orders")
+    day = F.to_date("o_orderdate")
+    spans = orders.select("o_orderkey", "o_custkey", F.date_add(day, 1).alias("low"), F.date_add(day, (F.col("o_orderkey") % 400).cast("int")).alias("high"))
+    later = orders.select("o_custkey", day.alias("day"), F.col("o_orderkey").alias("next_key"), cents("o_totalprice").alias("cents"))
+    return spans, later
+
+
+@query(
+    f"""{_FOLLOW_SQL}
+    SELECT {big('o_orderkey', 'next_key')} FROM spans JOIN later ON later.o_custkey = spans.o_custkey AND day BETWEEN low AND high"""
+)
+def orders_that_follow(spark, directory):
+    """The same customer's orders within a stretch after each order; its length differs by order."""
+    spans, later = _spans(spark, directory)
+    return op.range_join(later, spans, "day", "low", "high", on="o_custkey").select("o_orderkey", "next_key")
+
+
+@query(
+    f"""{_FOLLOW_SQL}
+    SELECT {big('o_orderkey', 'count(next_key) AS followers', 'sum(cents) AS cents_after')}
+    FROM spans LEFT JOIN later ON later.o_custkey = spans.o_custkey AND day BETWEEN low AND high GROUP BY o_orderkey"""
+)
+def amount_that_follows(spark, directory):
+    """Number and amount of those orders, for every order."""
+    spans, later = _spans(spark, directory)
+    totals = op.range_totals(later, spans, "day", "low", "high", {"cents_after": "cents"}, on="o_custkey", count="followers")
+    return totals.select("o_orderkey", "followers", "cents_after")
+
+
 # Cut groups -------------------------------------------------------------------------
 # The same questions with slices so small that every table here is cut.
 
