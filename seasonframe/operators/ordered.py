@@ -2,10 +2,11 @@
 
 A Spark window sorts each of its partitions in one task, so an unpartitioned window, or
 one over a key that holds a large share of the rows, does not scale. The functions here
-check the size first. Small inputs use the plain window. Otherwise each oversized group
-is cut into *slices* of consecutive rows along the full sort order, the window runs per
-slice, and the totals of the earlier slices are added. Cut points come from a sample of
-bounded size; they decide only where a group is cut, never the result.
+check the size first. Small inputs use the plain window. Larger ones are dealt by ranges of the
+full order, sorted, numbered where they lie and written once; every ``rows_per_slice`` rows of a
+partition are a *slice*. The window runs per (group, slice), and what the earlier slices of
+the group add up to is added: carries within a partition first, then carries of the partitions.
+Where the ranges are cut decides only how the work is dealt, never the result.
 
 The sort order must be total (end it with a unique column); otherwise the order among
 equal rows is arbitrary, as in any SQL window.
@@ -16,35 +17,47 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seasonframe.functions import SortKey, join_on_same, require_columns, sort_keys
+from seasonframe.sources import written_once
 
 ROWS_PER_SLICE = 1_000_000
-MAX_SLICES = 10_000
-SAMPLES_PER_SLICE = 20
+SLICES_PER_PART = 8  # slices that one task sorts, as long as there are no more than MAX_PARTS tasks
+MAX_PARTS = 20_000
+BROADCAST_CARRIES = 200_000
 PERIODS_PER_BLOCK = 100_000
 GROUP_LIMIT = 1_000  # largest "first k per group" that Spark applies before the shuffle
 
+_ROW = "__row"
 _SLICE = "__slice"
+_PART = "__part"
 _INDEX = "__index"
 _BLOCK = "__block"
+_PART_BITS = 33  # monotonically_increasing_id counts a partition's rows in its lower bits
 
 
 @dataclass(frozen=True)
-class Cuts:
-    """Cut points of the oversized groups: their group and sort columns, at most about MAX_SLICES rows."""
+class Sliced:
+    """Rows with their slice (the number of its first row, which ascends along the order) and partition, written once."""
 
-    table: pa.Table
+    rows: DataFrame
     partition_by: list[str]
-    keys: list[SortKey]
+    slices: int
 
-    def groups(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.table.select(self.partition_by)).distinct()
+    def cut_groups(self) -> DataFrame:
+        """The groups that lie in several slices: first or last in one, so at most two for each slice."""
+        names = self.partition_by
+        ends = self.rows.select(F.struct(*names).alias("_g"), _ROW, _SLICE).groupBy(_SLICE).agg(F.min_by("_g", _ROW).alias("_a"), F.max_by("_g", _ROW).alias("_b"))
+        at_ends = ends.select(_SLICE, F.explode(F.array_distinct(F.array("_a", "_b"))).alias("_g"))
+        several = at_ends.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        return several.select("_g.*")
+
+    def hinted(self, few: DataFrame) -> DataFrame:
+        """A table of a few rows for each slice at most, to be broadcast while there are few slices."""
+        return F.broadcast(few) if self.slices <= BROADCAST_CARRIES else few
 
 
 def has_few_periods(df: DataFrame, period: str, calendar: bool = False) -> bool:
@@ -59,73 +72,72 @@ def series_slice_rows(df: DataFrame, period: str, rows_per_slice: int | None, ca
 
 
 def find_slices(
-    df: DataFrame, partition_by: Sequence[str], keys: Sequence[SortKey], rows_per_slice: int | None
-) -> Cuts | None:
-    """Cut points of the groups that exceed ``rows_per_slice``, or None when there are none.
+    df: DataFrame, partition_by: Sequence[str], keys: Sequence[SortKey], rows_per_slice: int | None, total: int | None = None
+) -> Sliced | None:
+    """The rows in slices of at most ``rows_per_slice``, or None when one slice holds them all.
 
-    Two small jobs: a count, and a sample of at most about MAX_SLICES * SAMPLES_PER_SLICE
-    rows of the key columns. The result has at most about MAX_SLICES rows.
+    ``total`` is the number of rows where it is known; otherwise one job counts them. The rows are then
+    read for the range bounds (a sample of bounded size, Spark's own) and to be written.
     """
     if rows_per_slice is None:
         return None
-    total = df.count()
+    total = df.count() if total is None else total
     if total <= rows_per_slice:
         return None
-    per_slice = max(rows_per_slice, total // MAX_SLICES)
-    columns = list(dict.fromkeys([*partition_by, *(k.name for k in keys)]))
-    sample = df.select(*columns).sample(fraction=min(1.0, SAMPLES_PER_SLICE / per_slice), seed=17)
-    w = Window.partitionBy(*partition_by).orderBy(*(k.sort() for k in keys))
-    cuts = sample.withColumn(_SLICE, F.row_number().over(w))
-    table = cuts.where(F.col(_SLICE) % SAMPLES_PER_SLICE == 0).drop(_SLICE).toArrow()
-    return Cuts(table, list(partition_by), list(keys)) if table.num_rows else None
-
-
-def _slice_numbers(cuts: Cuts) -> Callable[..., Column]:
-    """An Arrow function of the group and sort columns: how many cut points lie at or before a row.
-
-    A composite binary search, one column at a time. The function carries plain arrays and
-    refers to nothing of this module, so the executors need no copy of the package.
-    """
-    keys = [*(SortKey(p) for p in cuts.partition_by), *cuts.keys]
-    ascending = [k.direction == "asc" for k in keys]
-    nulls_first = [k.nulls_first for k in keys]
-    columns = [cuts.table[k.name].combine_chunks() for k in keys]
-    marks = [np.unique(c.drop_null().to_numpy(zero_copy_only=False)) for c in columns]
-    prefixes: list[np.ndarray] = []
+    parts = min(MAX_PARTS, -(-total // (rows_per_slice * SLICES_PER_PART)))
+    order = [*(F.col(c).asc_nulls_first() for c in partition_by), *(k.sort() for k in keys)]
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    held = written_once(ranged.withColumn(_ROW, F.monotonically_increasing_id()))
+    place = F.col(_ROW).bitwiseAND(F.lit((1 << _PART_BITS) - 1))
+    held = held.withColumn(_SLICE, F.col(_ROW) - place % rows_per_slice).withColumn(_PART, F.shiftright(_ROW, _PART_BITS))
+    return Sliced(held, list(partition_by), parts + -(-total // rows_per_slice))
 
-    def among(sorted_marks: np.ndarray, values: np.ndarray) -> np.ndarray:
-        """Odd on a mark, even between marks."""
-        return np.searchsorted(sorted_marks, values, "left") + np.searchsorted(sorted_marks, values, "right")
 
-    def codes(level: int, column: pa.Array) -> np.ndarray:
-        """Positions along the key's direction; NULL comes before or after everything."""
-        top = 2 * len(marks[level])
-        found = among(marks[level], column.drop_null().to_numpy(zero_copy_only=False))
-        placed = np.full(len(column), -1 if nulls_first[level] else top + 1, dtype=np.int64)
-        placed[column.is_valid().to_numpy(zero_copy_only=False)] = found if ascending[level] else top - found
-        return placed + 1
+def _sum_of(here: Column, before: Column) -> Column:
+    return F.when(before.isNull(), here).when(here.isNull(), before).otherwise(here + before)
 
-    def place(columns: Sequence[pa.Array], learn: bool = False) -> np.ndarray:
-        code = np.zeros(len(columns[0]), dtype=np.int64)
-        for level, column in enumerate(columns):
-            code = code * (2 * len(marks[level]) + 3) + codes(level, column)
-            if learn:
-                prefixes.append(np.unique(code))
-            code = among(prefixes[level], code)  # a position again, so the code never overflows
-        return code
 
-    cut_codes = np.sort(place(columns, learn=True))
-
-    def slice_number(*values: pa.Array) -> pa.Array:
-        return pa.array(np.searchsorted(cut_codes, place(values), "right"), pa.int32())
+def _earlier(
+    totals: DataFrame, partition_by: Sequence[str], sums: Sequence[str] = (), maxima: Sequence[str] = (), lasts: Sequence[str] = ()
+) -> DataFrame:
+    """Adds ``<name>_before``: the sum, the maximum or the last of the group's earlier slices, NULL where there is none.
 
-    return F.arrow_udf(slice_number, "int")
+    In two levels, so that no window is longer than a partition's slices or the number of partitions.
+    """
+    group = [*partition_by]
+    by_slice, by_part = Window.partitionBy(*group, _PART).orderBy(_SLICE), Window.partitionBy(*group).orderBy(_PART)
+    before = (Window.unboundedPreceding, -1)
+    parts = totals.groupBy(*group, _PART).agg(
+        *(F.sum(c).alias(c) for c in sums), *(F.max(c).alias(c) for c in maxima), *(F.max_by(c, _SLICE).alias(c) for c in lasts)
+    )
+    parts = parts.select(
+        *group,
+        _PART,
+        *(F.sum(c).over(by_part.rowsBetween(*before)).alias(f"{c}__part") for c in sums),
+        *(F.max(c).over(by_part.rowsBetween(*before)).alias(f"{c}__part") for c in maxima),
+        *(F.lag(c).over(by_part).alias(f"{c}__part") for c in lasts),
+    )
+    here = totals.select(
+        "*",
+        *(F.sum(c).over(by_slice.rowsBetween(*before)).alias(f"{c}_before") for c in sums),
+        *(F.max(c).over(by_slice.rowsBetween(*before)).alias(f"{c}_before") for c in maxima),
+        *(F.lag(c).over(by_slice).alias(f"{c}_before") for c in lasts),
+        F.row_number().over(by_slice).alias("__place"),
+    )
+    joined = join_on_same(here, parts, [*group, _PART], "left")
+    return joined.select(
+        *totals.columns,
+        *(_sum_of(F.col(f"{c}_before"), F.col(f"{c}__part")).alias(f"{c}_before") for c in sums),
+        *(F.greatest(f"{c}_before", f"{c}__part").alias(f"{c}_before") for c in maxima),
+        *(F.when(F.col("__place") == 1, F.col(f"{c}__part")).otherwise(F.col(f"{c}_before")).alias(f"{c}_before") for c in lasts),
+    )
 
 
-def with_slices(df: DataFrame, cuts: Cuts) -> DataFrame:
-    """Add the slice number. It grows along (group, sort order), so only cut groups have several."""
-    names = [*cuts.partition_by, *(k.name for k in cuts.keys)]
-    return df.withColumn(_SLICE, _slice_numbers(cuts)(*names))
+def _of_cut_groups(sliced: Sliced) -> DataFrame:
+    """The rows whose group lies in several slices; only those need carries."""
+    if not sliced.partition_by:
+        return sliced.rows
+    return join_on_same(sliced.rows, sliced.hinted(sliced.cut_groups()), sliced.partition_by, "left_semi")
 
 
 def _prefix_sums(
@@ -133,34 +145,25 @@ def _prefix_sums(
     partition_by: Sequence[str],
     keys: Sequence[SortKey],
     sums: dict[str, Column],
-    cuts: Cuts | None,
+    sliced: Sliced | None,
 ) -> DataFrame:
     sorts = [k.sort() for k in keys]
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    if cuts is None:
+    if sliced is None:
         w = Window.partitionBy(*partition_by).orderBy(*sorts).rowsBetween(*so_far)
         return df.select("*", *(F.sum(c).over(w).alias(n) for n, c in sums.items()))
 
-    sliced = with_slices(df, cuts)
     group = [*partition_by, _SLICE]
     in_slice = Window.partitionBy(*group).orderBy(*sorts).rowsBetween(*so_far)
-    running = sliced.select("*", *(F.sum(c).over(in_slice).alias(n) for n, c in sums.items()))
-
-    # Only the cut groups need carries: at most one row per cut point plus one per cut group.
-    carried = {n: f"__before_{n}" for n in sums}
-    cut_rows = df
-    if partition_by:
-        cut_rows = join_on_same(df, F.broadcast(cuts.groups(df.sparkSession)), partition_by, "left_semi")
-    totals = with_slices(cut_rows, cuts).groupBy(*group).agg(*(F.sum(c).alias(carried[n]) for n, c in sums.items()))
-    earlier = Window.partitionBy(*partition_by).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carries = totals.select(*group, *(F.sum(b).over(earlier).alias(b) for b in carried.values()))
-
-    joined = join_on_same(running, F.broadcast(carries), group, "left")
+    running = sliced.rows.select(*df.columns, _SLICE, *(F.sum(c).over(in_slice).alias(n) for n, c in sums.items()))
+    totals = _of_cut_groups(sliced).groupBy(*group, _PART).agg(*(F.sum(c).alias(f"__{n}") for n, c in sums.items()))
+    carries = _earlier(totals, partition_by, sums=[f"__{n}" for n in sums])
+    # a slice that follows on in its group: fewer than there are slices
+    carries = carries.where(" or ".join(f"`__{n}_before` is not null" for n in sums)).drop(_PART, *(f"__{n}" for n in sums))
+    joined = join_on_same(running, sliced.hinted(carries), group, "left")
 
     def add(name: str) -> Column:
-        here, before = F.col(name), F.col(carried[name])
-        total = F.when(before.isNull(), here).when(here.isNull(), before).otherwise(here + before)
-        return total.cast(running.schema[name].dataType).alias(name)
+        return _sum_of(F.col(name), F.col(f"__{name}_before")).cast(running.schema[name].dataType).alias(name)
 
     return joined.select(*df.columns, *(add(n) for n in sums))
 
@@ -171,11 +174,15 @@ def prefix_sums(
     order_by,
     sums: dict[str, Column],
     rows_per_slice: int | None = ROWS_PER_SLICE,
+    total: int | None = None,
 ) -> DataFrame:
-    """Add inclusive running sums per group in a total order; ``{"n": F.lit(1)}`` numbers rows."""
+    """Add inclusive running sums per group in a total order; ``{"n": F.lit(1)}`` numbers rows.
+
+    ``total`` is the number of rows where the caller knows it, which saves a count.
+    """
     keys = sort_keys(order_by)
     require_columns(df, partition_by, [k.name for k in keys])
-    return _prefix_sums(df, partition_by, keys, sums, find_slices(df, partition_by, keys, rows_per_slice))
+    return _prefix_sums(df, partition_by, keys, sums, find_slices(df, partition_by, keys, rows_per_slice, total))
 
 
 def add_ranks(
@@ -189,14 +196,24 @@ def add_ranks(
     """Add rank and/or dense rank.
 
     For oversized groups the scan runs over the distinct sort values with their row counts,
-    so rows that share one value never meet in one task, and the ranks are joined back.
+    so rows that share one value never meet in one task, and the ranks are joined back. One pass
+    over the combined values tells both how many rows and how many values there are.
     """
     keys = sort_keys(order_by)
     require_columns(df, partition_by, [k.name for k in keys])
     outputs = {name: kind for name, kind in ((rank, "rank"), (dense_rank, "dense_rank")) if name}
-    if rows_per_slice is None or df.count() <= rows_per_slice:
+    if rows_per_slice is None:
         return _ranks_by_window(df, partition_by, keys, outputs)
-    return _ranks_by_value(df, partition_by, keys, outputs, rows_per_slice)
+    group = list(dict.fromkeys([*partition_by, *(k.name for k in keys)]))
+    peers = df.groupBy(*group).agg(F.count("*").alias("__peers"))
+    size = peers.agg(F.count("*").alias("values"), F.sum("__peers").alias("rows")).first()
+    if (size["rows"] or 0) <= rows_per_slice:
+        return _ranks_by_window(df, partition_by, keys, outputs)
+    scans = {"__through": F.col("__peers"), "__dense": F.lit(1)}
+    scanned = prefix_sums(peers, partition_by, keys, scans, rows_per_slice, size["values"])
+    ranks = {"rank": F.col("__through") - F.col("__peers") + 1, "dense_rank": F.col("__dense")}
+    ranked = scanned.select(*group, *(ranks[kind].cast("bigint").alias(n) for n, kind in outputs.items()))
+    return join_on_same(df, ranked, group, "left")
 
 
 def _ranks_by_window(
@@ -207,23 +224,6 @@ def _ranks_by_window(
     return df.select("*", *(ranks[kind].over(w).cast("bigint").alias(n) for n, kind in outputs.items()))
 
 
-def _ranks_by_value(
-    df: DataFrame,
-    partition_by: Sequence[str],
-    keys: Sequence[SortKey],
-    outputs: dict[str, str],
-    rows_per_slice: int | None,
-) -> DataFrame:
-    """Ranks from the row counts per distinct sort value, joined back."""
-    group = list(dict.fromkeys([*partition_by, *(k.name for k in keys)]))
-    peers = df.groupBy(*group).agg(F.count("*").alias("__peers"))
-    scans = {"__through": F.col("__peers"), "__dense": F.lit(1)}
-    scanned = prefix_sums(peers, partition_by, keys, scans, rows_per_slice)
-    ranks = {"rank": F.col("__through") - F.col("__peers") + 1, "dense_rank": F.col("__dense")}
-    ranked = scanned.select(*group, *(ranks[kind].cast("bigint").alias(n) for n, kind in outputs.items()))
-    return join_on_same(df, ranked, group, "left")
-
-
 def scan_rows(
     df: DataFrame,
     partition_by: Sequence[str],
@@ -238,10 +238,10 @@ def scan_rows(
     ``ranks`` maps output names to ``"rank"`` or ``"dense_rank"``. One size check serves both.
     """
     keys, breakers = sort_keys(order_by), sort_keys(list(tie_break))
-    cuts = find_slices(df, partition_by, keys + breakers, rows_per_slice)
-    if cuts is None:
+    sliced = find_slices(df, partition_by, keys + breakers, rows_per_slice)
+    if sliced is None:
         return _ranks_by_window(_prefix_sums(df, partition_by, keys + breakers, sums, None), partition_by, keys, ranks)
-    return _scan_slices(df, partition_by, keys, breakers, sums, ranks, cuts)
+    return _scan_slices(df, partition_by, keys, breakers, sums, ranks, sliced)
 
 
 def _scan_slices(
@@ -251,7 +251,7 @@ def _scan_slices(
     breakers: Sequence[SortKey],
     sums: dict[str, Column],
     ranks: dict[str, str],
-    cuts: Cuts,
+    sliced: Sliced,
 ) -> DataFrame:
     """Running sums and ranks of cut groups in one pass over the slices.
 
@@ -263,24 +263,23 @@ def _scan_slices(
     by_key = Window.partitionBy(*group).orderBy(*(k.sort() for k in keys))
     by_row = Window.partitionBy(*group).orderBy(*(k.sort() for k in [*keys, *breakers]))
     by_row = by_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    scanned = with_slices(df, cuts).select(
-        "*",
+    scanned = sliced.rows.select(
+        *df.columns,
+        _SLICE,
         *(F.sum(c).over(by_row).alias(n) for n, c in sums.items()),
         F.rank().over(by_key).cast("bigint").alias("__rank"),
         F.dense_rank().over(by_key).cast("bigint").alias("__dense"),
     )
 
-    ends = df
-    if partition_by:
-        ends = join_on_same(df, F.broadcast(cuts.groups(df.sparkSession)), partition_by, "left_semi")
-    ends = with_slices(ends, cuts).select(
+    ends = _of_cut_groups(sliced).select(
         *group,
+        _PART,
         *(c.alias(f"__sum_{n}") for n, c in sums.items()),
         values.alias("__value"),
         F.rank().over(by_key).cast("bigint").alias("__rank"),
         F.dense_rank().over(by_key).cast("bigint").alias("__dense"),
     )
-    ends = ends.groupBy(*group).agg(
+    ends = ends.groupBy(*group, _PART).agg(
         *(F.sum(f"__sum_{n}").alias(f"__sum_{n}") for n in sums),
         F.count("*").alias("__rows"),
         F.max("__dense").alias("__values"),
@@ -288,33 +287,31 @@ def _scan_slices(
         F.min_by("__value", "__rank").alias("__first"),
         F.max_by("__value", "__rank").alias("__last"),
     )
-    along = Window.partitionBy(*partition_by).orderBy(_SLICE)
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    through = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    follows = F.row_number().over(along) > 1
-    carries = ends.withColumn("__joined", follows & F.col("__first").eqNullSafe(F.lag("__last").over(along)))
-    carries = carries.withColumn("__rows_before", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)))
+    carries = _earlier(ends, partition_by, sums=["__rows", *(f"__sum_{n}" for n in sums)], lasts=["__last"])
+    # only slices that follow on in their group: fewer than there are slices
+    joined = F.col("__rows_before").isNotNull() & F.col("__first").eqNullSafe(F.col("__last_before"))
+    carries = carries.withColumn("__joined", joined)
     # a slice of one value that goes on from the last slice starts no run of its own
-    starts = ~(F.col("__joined") & (F.col("__values") == 1))
-    carries = carries.withColumn(
-        "__start", F.last(F.when(starts, F.col("__rows_before") + F.col("__last_start")), ignorenulls=True).over(through)
+    goes_on = F.col("__joined") & (F.col("__values") == 1)
+    carries = carries.withColumns(
+        {
+            "__start": F.when(~goes_on, F.coalesce("__rows_before", F.lit(0)) + F.col("__last_start")),
+            "__new": F.col("__values") - F.col("__joined").cast("bigint"),
+        }
     )
+    carries = _earlier(carries, partition_by, sums=["__new"], maxima=["__start"]).where("__rows_before is not null")
     carries = carries.select(
         *group,
-        *(F.sum(f"__sum_{n}").over(earlier).alias(f"__before_{n}") for n in sums),
+        *(f"__sum_{n}_before" for n in sums),
         "__rows_before",
         "__joined",
-        F.lag("__start").over(along).alias("__start_before"),
-        (F.coalesce(F.sum("__values").over(earlier), F.lit(0)) - F.sum(F.col("__joined").cast("bigint")).over(through)).alias(
-            "__dense_before"
-        ),
+        "__start_before",
+        (F.col("__new_before") - F.col("__joined").cast("bigint")).alias("__dense_before"),
     )
-    joined = join_on_same(scanned, F.broadcast(carries), group, "left")
+    both = join_on_same(scanned, sliced.hinted(carries), group, "left")
 
     def add(name: str) -> Column:
-        here, before = F.col(name), F.col(f"__before_{name}")
-        total = F.when(before.isNull(), here).when(here.isNull(), before).otherwise(here + before)
-        return total.cast(scanned.schema[name].dataType).alias(name)
+        return _sum_of(F.col(name), F.col(f"__sum_{name}_before")).cast(scanned.schema[name].dataType).alias(name)
 
     found = {
         "rank": F.when(F.col("__joined") & (F.col("__dense") == 1), F.col("__start_before")).otherwise(
@@ -322,7 +319,7 @@ def _scan_slices(
         ),
         "dense_rank": F.coalesce("__dense_before", F.lit(0)) + F.col("__dense"),
     }
-    return joined.select(*df.columns, *(add(n) for n in sums), *(found[kind].cast("bigint").alias(n) for n, kind in ranks.items()))
+    return both.select(*df.columns, *(add(n) for n in sums), *(found[kind].cast("bigint").alias(n) for n, kind in ranks.items()))
 
 
 def over_neighbours(
@@ -342,13 +339,13 @@ def over_neighbours(
     """
     keys = sort_keys(order_by)
     require_columns(df, partition_by, [k.name for k in keys])
-    cuts = find_slices(df, partition_by, keys, rows_per_slice)
-    if cuts is None:
+    sliced = find_slices(df, partition_by, keys, rows_per_slice)
+    if sliced is None:
         w = Window.partitionBy(*partition_by).orderBy(*(k.sort() for k in keys))
         return df.select("*", *(c.alias(n) for n, c in columns(w).items()))
 
     size = max(rows_per_slice, before + 1, after + 1)
-    indexed = _prefix_sums(df, partition_by, keys, {_INDEX: F.lit(1)}, cuts)
+    indexed = _prefix_sums(df, partition_by, keys, {_INDEX: F.lit(1)}, sliced)
     home = F.call_function("div", F.col(_INDEX), F.lit(size))
     offset = F.col(_INDEX) % size
     reached = F.array(

@@ -1107,6 +1107,17 @@ def part_size_rankings_in_slices(spark, directory):
     return op.rankings(rows, ("p_size", "desc"), tie_break="p_partkey", rows_per_slice=SMALL_SLICE)
 
 
+@query(
+    f"""SELECT {big('l_orderkey', 'l_linenumber', 'rank() OVER w AS price_rank', 'dense_rank() OVER w AS price_level')}
+    FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC)"""
+)
+def line_price_ranks_in_slices(spark, directory):
+    """Ranks without a tie-break within three large groups, by distinct prices that are cut."""
+    rows = read_table(spark, directory, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
+    ranked = op.add_ranks(rows, ["l_returnflag"], ("l_extendedprice", "desc"), "price_rank", "price_level", rows_per_slice=SMALL_SLICE)
+    return ranked.select("l_orderkey", "l_linenumber", "price_rank", "price_level")
+
+
 @query(SQL["status_running_rows"])
 def status_running_rows_in_slices(spark, directory):
     """Row-by-row running totals within three large groups, each cut."""

@@ -1,3 +1,4 @@
+from seasonframe.sources.scratch import written_once
 from seasonframe.sources.tables import (
     DRIVER_SCHEMAS,
     SEASON_SCHEMAS,
@@ -16,4 +17,5 @@ __all__ = [
     "register_views",
     "season_table",
     "season_tables_from_catalog",
+    "written_once",
 ]

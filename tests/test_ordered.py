@@ -110,9 +110,37 @@ def test_small_input_is_not_cut(skewed):
     assert find_slices(skewed, ["g"], sort_keys(["v", "id"]), 3000) is None
 
 
-def test_cut_points_are_bounded(skewed):
-    cuts = find_slices(skewed, [], sort_keys(["v", "id"]), 100)
-    assert 0 < cuts.table.num_rows <= 60
+@pytest.mark.parametrize("group", [[], ["g"]])
+def test_slices_are_bounded_and_follow_the_order(skewed, group):
+    keys = sort_keys([("v", "desc"), "id"])
+    sliced = find_slices(skewed, group, keys, 100)
+    sizes = sliced.rows.groupBy("__slice").count().collect()
+    assert sum(r["count"] for r in sizes) == 3000 and max(r["count"] for r in sizes) <= 100
+    assert 30 <= len(sizes) <= sliced.slices
+    assert sliced.rows.select("__part").distinct().count() > 1
+    by_row = [(r.g, r.v, r.id) for r in sliced.rows.orderBy("__row").collect()]
+    order = [*(F.col(c).asc_nulls_first() for c in group), *(k.sort() for k in keys)]
+    assert by_row == [(r.g, r.v, r.id) for r in skewed.orderBy(*order).collect()]
+    if group:
+        cut = {r.g for r in sliced.cut_groups().collect()}
+        spread = sliced.rows.groupBy("g").agg(F.count_distinct("__slice").alias("n")).where("n > 1")
+        assert cut == {r.g for r in spread.collect()}
+
+
+def test_the_rows_above_are_computed_once(spark):
+    rows = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
+    plan = prefix_sums(rows, [], ["k"], {"n": F.lit(1)}, 100)._jdf.queryExecution().executedPlan().toString()
+    assert "Range (" not in plan and "ExistingRDD" in plan
+
+
+def test_one_pass_sizes_the_ranks(skewed, monkeypatch):
+    import seasonframe.operators.ordered as module
+
+    counted = []
+    plain = module.find_slices
+    monkeypatch.setattr(module, "find_slices", lambda *a: counted.append(a[4]) or plain(*a))
+    add_ranks(skewed, ["g"], "id", rows_per_slice=100).collect()
+    assert counted == [3000]
 
 
 def test_sliced_plan_joins_by_key(skewed):
