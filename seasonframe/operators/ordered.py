@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seasonframe.functions import SortKey, join_on_same, require_columns, sort_keys
-from seasonframe.sources import written_once
+from seasonframe.sources import written_and_observed, written_once
 
 ROWS_PER_SLICE = 1_000_000
 SLICES_PER_PART = 8  # slices that one task sorts, as long as there are no more than MAX_PARTS tasks
@@ -175,13 +175,19 @@ def prefix_sums(
     sums: dict[str, Column],
     rows_per_slice: int | None = ROWS_PER_SLICE,
     total: int | None = None,
+    derived: bool = False,
 ) -> DataFrame:
     """Add inclusive running sums per group in a total order; ``{"n": F.lit(1)}`` numbers rows.
 
-    ``total`` is the number of rows where the caller knows it, which saves a count.
+    ``total`` is the number of rows where the caller knows it, which saves a count. ``derived`` says that
+    the rows cost work to make (a grouping, a join): they are then written once and counted on the way,
+    instead of being made again for the count, the range bounds and the scan.
     """
     keys = sort_keys(order_by)
     require_columns(df, partition_by, [k.name for k in keys])
+    if derived and total is None and rows_per_slice is not None:
+        df, seen = written_and_observed(df, rows=F.count(F.lit(1)))
+        total = seen["rows"]
     return _prefix_sums(df, partition_by, keys, sums, find_slices(df, partition_by, keys, rows_per_slice, total))
 
 
@@ -196,8 +202,8 @@ def add_ranks(
     """Add rank and/or dense rank.
 
     For oversized groups the scan runs over the distinct sort values with their row counts,
-    so rows that share one value never meet in one task, and the ranks are joined back. One pass
-    over the combined values tells both how many rows and how many values there are.
+    so rows that share one value never meet in one task, and the ranks are joined back. The combined
+    values are written once, which tells both how many rows and how many values there are.
     """
     keys = sort_keys(order_by)
     require_columns(df, partition_by, [k.name for k in keys])
@@ -206,8 +212,8 @@ def add_ranks(
         return _ranks_by_window(df, partition_by, keys, outputs)
     group = list(dict.fromkeys([*partition_by, *(k.name for k in keys)]))
     peers = df.groupBy(*group).agg(F.count("*").alias("__peers"))
-    size = peers.agg(F.count("*").alias("values"), F.sum("__peers").alias("rows")).first()
-    if (size["rows"] or 0) <= rows_per_slice:
+    peers, size = written_and_observed(peers, values=F.count(F.lit(1)), rows=F.sum("__peers"))
+    if size["rows"] <= rows_per_slice:
         return _ranks_by_window(df, partition_by, keys, outputs)
     scans = {"__through": F.col("__peers"), "__dense": F.lit(1)}
     scanned = prefix_sums(peers, partition_by, keys, scans, rows_per_slice, size["values"])

@@ -162,7 +162,7 @@ def rank_tally(
         levels = levels.withColumn("_level", F.row_number().over(w)).where(F.col("_level") <= target_rank)
         through = levels.withColumn("_through", F.sum("_peers").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     else:
-        through = prefix_sums(levels, group, sorts, {"_through": F.col("_peers")})
+        through = prefix_sums(levels, group, sorts, {"_through": F.col("_peers")}, derived=True)
     at_rank = through.where(F.col("_through") - F.col("_peers") + 1 == target_rank)
     # levels are unique; a semi-join would be pushed below the counts and read the rows again
     held = join_on_same(counts, at_rank.select(*level), level, "inner")

@@ -118,7 +118,8 @@ def running_total(
         raise ValueError("frame must be 'range' or 'rows'")
     series = _per_period(df, group, period, value)
     sums = {"running_total": F.col(value), "period_number": F.lit(1)}
-    totals = prefix_sums(series, group, period, sums, series_slice_rows(series, period, rows_per_slice, calendar))
+    slice_rows = series_slice_rows(series, period, rows_per_slice, calendar)
+    totals = prefix_sums(series, group, period, sums, slice_rows, derived=True)
     if not per_row:
         return totals
     return join_on_same(df, totals.drop(value), [*group, period], "left")
@@ -330,17 +331,17 @@ def streaks(
         index = index - F.size(F.filter(F.lit(skipped), lambda gap: gap < F.col(period)))
     slice_rows = series_slice_rows(rows, period, rows_per_slice, calendar)
     order = [period, *(c for c in places if c not in group)]
-    numbered = prefix_sums(rows, group, order, {"_n": F.lit(1)}, slice_rows)
+    numbered = prefix_sums(rows, group, order, {"_n": F.lit(1)}, slice_rows, derived=True)
     numbered = numbered.withColumn("_run", F.when(~in_skip, index - F.col("_n")))
     if places:
         tie_break = [c for c in group if c not in places]
-        positioned = prefix_sums(numbered, [*places, "_run"], [period, *tie_break], {"streak": F.lit(1)}, rows_per_slice)
+        positioned = prefix_sums(numbered, [*places, "_run"], [period, *tie_break], {"streak": F.lit(1)}, rows_per_slice, derived=True)
         return positioned.select(*dict.fromkeys([*group, *places]), period, "streak")
     run = [*group, "_run"]
     if longest_only:
         lengths = numbered.groupBy(*run).agg(F.count("*").alias("_length"))
         return lengths.groupBy(*group).agg(F.max("_length").alias("longest_streak"))
-    positioned = prefix_sums(numbered, run, period, {"streak": F.lit(1)}, slice_rows)
+    positioned = prefix_sums(numbered, run, period, {"streak": F.lit(1)}, slice_rows, derived=True)
     return positioned.select(*group, period, "streak")
 
 

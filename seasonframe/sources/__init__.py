@@ -1,4 +1,4 @@
-from seasonframe.sources.scratch import written_once
+from seasonframe.sources.scratch import written_and_observed, written_once
 from seasonframe.sources.tables import (
     DRIVER_SCHEMAS,
     SEASON_SCHEMAS,
@@ -17,5 +17,6 @@ __all__ = [
     "register_views",
     "season_table",
     "season_tables_from_catalog",
+    "written_and_observed",
     "written_once",
 ]

@@ -133,6 +133,22 @@ def test_the_rows_above_are_computed_once(spark):
     assert "Range (" not in plan and "ExistingRDD" in plan
 
 
+def test_derived_rows_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def pass_on(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    rows = spark.range(900).select(F.col("id").alias("k"), (F.col("id") % 5).alias("g"))
+    counted = rows.mapInPandas(pass_on, "k bigint, g bigint")
+    for rows_per_slice in (100, 10_000):
+        before = made.value
+        assert prefix_sums(counted, ["g"], "k", {"n": F.lit(1)}, rows_per_slice, derived=True).count() == 900
+        assert made.value - before == 900
+
+
 def test_one_pass_sizes_the_ranks(skewed, monkeypatch):
     import seasonframe.operators.ordered as module
 
