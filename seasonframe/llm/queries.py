@@ -42,6 +42,8 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_removed",
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        # what is left, as text; where a removed run ends within a character its bytes become U+FFFD
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 
