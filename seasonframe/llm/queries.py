@@ -108,7 +108,8 @@ SQL["op4_chat_formatting"] = r"""
     quotes AS (
         SELECT * FROM (
             SELECT conv_id, turn, level, place,
-                   lower(trim(regexp_replace(string_agg(content, ' ' ORDER BY pos), '\s+', ' ', 'g'))) AS passage
+                   lower(trim(regexp_replace(string_agg(content, ' ' ORDER BY pos), '\s+', ' ', 'g'))) AS passage,
+                   list_filter(list_transform(list(content ORDER BY pos), lambda x: lower(trim(regexp_replace(x, '\s+', ' ', 'g')))), lambda x: x <> '') AS lines
             FROM placed WHERE level > 0 AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, turn, text, level, place)
         WHERE passage <> ''
     ),
@@ -127,10 +128,49 @@ SQL["op4_chat_formatting"] = r"""
               FROM own WHERE conv_id IS NOT NULL AND turn IS NOT NULL)
         WHERE passage <> '' GROUP BY conv_id, passage
     ),
-    links AS (
-        SELECT q.conv_id, q.turn, level, place, CASE WHEN first_turn < q.turn THEN first_turn END AS source_turn
+    direct AS (
+        SELECT q.conv_id, q.turn, level, place, lines, CASE WHEN first_turn < q.turn THEN first_turn END AS source_turn
         FROM quotes q LEFT JOIN first_said f ON f.conv_id = q.conv_id AND f.passage = q.passage
     ),
+    -- the pieces of a run that no paragraph answers: its lines, its sentences, the sentences within its lines
+    tried AS (
+        SELECT conv_id, lines, unnest([lines, list_filter(list_transform(string_split(regexp_replace(regexp_replace(array_to_string(lines, ' '), '([.!?…]["''”’)\]]{0,2}) ', '\1' || chr(1), 'g'), '([。！？]) ?', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> ''),
+                                       list_filter(list_transform(string_split(array_to_string(list_transform(lines, lambda x: regexp_replace(regexp_replace(x, '([.!?…]["''”’)\]]{0,2}) ', '\1' || chr(1), 'g'), '([。！？]) ?', '\1' || chr(1), 'g')), chr(1)), chr(1)), lambda x: trim(x)), lambda x: x <> '')]) AS pieces
+        FROM (SELECT DISTINCT conv_id, lines FROM direct WHERE source_turn IS NULL)
+    ),
+    told_lines AS (
+        SELECT conv_id, turn, text, paragraph,
+               list_filter(list_transform(string_split_regex(body, '\r?\n'), lambda x: lower(trim(regexp_replace(x, '\s+', ' ', 'g')))), lambda x: x <> '') AS lines,
+               lower(trim(regexp_replace(body, '\s+', ' ', 'g'))) AS whole
+        FROM (SELECT conv_id, turn, text, unnest(parts) AS body, generate_subscripts(parts, 1) AS paragraph
+              FROM (SELECT *, string_split_regex(plain, '\n\s*\n') AS parts FROM own WHERE conv_id IS NOT NULL AND turn IS NOT NULL))
+    ),
+    told_ways AS (
+        SELECT conv_id, turn, text, paragraph, unnest(ways) AS pieces, generate_subscripts(ways, 1) AS way
+        FROM (SELECT *, [lines, list_filter(list_transform(string_split(regexp_replace(regexp_replace(whole, '([.!?…]["''”’)\]]{0,2}) ', '\1' || chr(1), 'g'), '([。！？]) ?', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> ''),
+                         list_filter(list_transform(string_split(array_to_string(list_transform(lines, lambda x: regexp_replace(regexp_replace(x, '([.!?…]["''”’)\]]{0,2}) ', '\1' || chr(1), 'g'), '([。！？]) ?', '\1' || chr(1), 'g')), chr(1)), chr(1)), lambda x: trim(x)), lambda x: x <> '')] AS ways
+              FROM told_lines)
+    ),
+    told_pieces AS (
+        SELECT conv_id, turn, text, way, piece, sum(length(replace(piece, ' ', ''))) OVER (PARTITION BY conv_id, turn, text, way ORDER BY paragraph, spot) AS stops,
+               length(replace(piece, ' ', '')) AS long
+        FROM (SELECT *, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS spot FROM told_ways)
+    ),
+    told_all AS (
+        SELECT conv_id, turn, text, list({p: piece, a: stops - long, z: stops, n: 0::BIGINT} ORDER BY stops, stops - long, piece) AS spoken
+        FROM (SELECT DISTINCT conv_id, turn, text, piece, stops, long FROM told_pieces) GROUP BY conv_id, turn, text
+    ),
+    held AS (
+        SELECT t.conv_id, t.lines, min(a.turn) AS turn
+        FROM tried t JOIN told_all a ON a.conv_id = t.conv_id
+        WHERE list_reduce(list_prepend({p: '', a: 0::HUGEINT, z: 0::HUGEINT, n: 0::BIGINT}, spoken),
+                  lambda s, x: CASE WHEN x.p = pieces[s.n + 1] AND x.a >= s.z THEN {p: '', a: 0::HUGEINT, z: x.z, n: s.n + 1} ELSE s END).n = len(pieces)
+        GROUP BY t.conv_id, t.lines
+    ),
+    links AS (
+        SELECT d.conv_id, d.turn, level, place, coalesce(source_turn, CASE WHEN h.turn < d.turn THEN h.turn END) AS source_turn
+        FROM direct d LEFT JOIN held h ON h.conv_id = d.conv_id AND h.lines = d.lines
+    ),
     answers AS (
         SELECT conv_id, turn, count(*) AS n_quotes, count(source_turn) AS n_linked,
                arg_min(source_turn, level * 1000000000 + place) FILTER (WHERE source_turn IS NOT NULL) AS parent

@@ -113,14 +113,21 @@ def first_holding(told: DataFrame, runs: DataFrame) -> DataFrame:
 
     Pieces are the run's lines, its sentences, or the sentences within its lines, each a whole line or
     sentence of the message, and no two overlap there; what stands between them may be left out.
-    Runs and texts that are equal are compared once. A run meets the texts that have its rarest
-    piece, by hash; what meets is compared in full. Runs without such a turn are left out.
+    Runs and texts that are equal are compared once. A run of one piece takes the first turn that says it,
+    from combined rows. A longer one meets the texts that have its rarest piece, by hash; what meets is
+    compared in full. Runs without such a turn are left out.
     """
     lines = F.col("lines")
     ways = F.array_distinct(F.array(lines, _sentences(F.array_join(lines, " ")), _sentences_of_lines(lines)))
     tried = runs.select("conv", "lines", F.explode(ways).alias("pieces"))
     tried = cut(tried.withColumn("run", F.md5(F.array_join("pieces", "\n"))))
-    wanted = tried.select("conv", "run", F.explode("pieces").alias("_piece")).select("conv", "run", F.xxhash64("_piece").alias("hash")).distinct()
+    several = tried.where(F.size("pieces") > 1)
+    wanted = several.select("conv", "run", F.explode("pieces").alias("_piece")).select("conv", "run", F.xxhash64("_piece").alias("hash")).distinct()
+
+    single = tried.where(F.size("pieces") == 1).select("conv", "run", F.get("pieces", F.lit(0)).alias("piece")).distinct()
+    first = told.select("conv", "turn", "_text").join(single.select("conv").distinct(), "conv", "left_semi")
+    first = _own_pieces(first, ["conv", "turn"], "_text").groupBy("conv", "piece").agg(F.min("turn").alias("_held"))
+    single = single.join(first, ["conv", "piece"]).select("conv", "run", "_held")
 
     texts = told.select("conv", "turn", "_text", F.md5("_text").alias("text_id"))
     said = _own_pieces(texts, ["conv", "turn", "text_id"], "_text").select("conv", F.xxhash64("piece").alias("hash"), "text_id", "turn")
@@ -149,8 +156,9 @@ def first_holding(told: DataFrame, runs: DataFrame) -> DataFrame:
         return F.when(fits, F.struct((at["n"] + 1).alias("n"), x["end"].alias("end"))).otherwise(at)
 
     none = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("end"))
-    compared = meetings.join(texts_said, ["conv", "text_id"]).join(tried.select("conv", "run", "pieces").dropDuplicates(["conv", "run"]), ["conv", "run"])
+    compared = meetings.join(texts_said, ["conv", "text_id"]).join(several.select("conv", "run", "pieces").dropDuplicates(["conv", "run"]), ["conv", "run"])
     holding = compared.where(F.aggregate("_said", none, further)["n"] == F.size("pieces")).groupBy("conv", "run").agg(F.min("turn").alias("_held"))
+    holding = holding.unionByName(single)
     return tried.join(holding, ["conv", "run"]).groupBy("conv", "lines").agg(F.min("_held").alias("held"))
 
 
@@ -213,7 +221,7 @@ def reply_ordered(
 
     Null texts count as empty. Messages with a null conversation or turn are linked to nothing.
     Rows that repeat a conversation and turn are one message with all their quotes, and stay rows.
-    A null role reads ``user``. Extra columns are ignored.
+    A null role reads ``user``. Extra columns are ignored; an empty table gives an empty result.
     """
     links = cut(link_quotes(messages, conv_col, turn_col, text_col))
     best = F.min(F.when(F.col("source_turn").isNotNull(), F.struct("level", "place", "source_turn")))

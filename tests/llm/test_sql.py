@@ -41,6 +41,36 @@ def test_quotes_on_made_threads(spark, tmp_path):
     assert sum(r[2] > 0 for r in got) == 5  # column depth
 
 
+def test_partial_quotes_on_made_threads(spark, tmp_path):
+    import random
+
+    rng = random.Random(21)
+    rows = []
+    for conv in range(5):
+        bodies = []
+        for turn in range(24):
+            quoted = []
+            if bodies:
+                source = [x for x in rng.choice(bodies).split("\n") if x]
+                way = rng.randrange(4)
+                if way == 0:
+                    quoted = [x for x in source if rng.random() < 0.6]
+                elif way == 1:
+                    quoted = [s + "." for s in " ".join(source).split(".") if s.strip() and rng.random() < 0.5]
+                elif way == 2:
+                    words = " ".join(source).split()
+                    quoted = [" ".join(words[i : i + 4]) for i in range(0, len(words), 4)]
+                elif source:
+                    quoted = rng.sample(source, len(source))
+            body = "\n".join(rng.choice(["", "One is. Two is!", "Ok.", "Thanks.", "A b c d. E f", "no end", f"turn {turn} says. So"]) for _ in range(rng.randint(1, 5)))
+            bodies.append(body)
+            rows.append((conv, turn, "user", "\n".join(["> " + x.strip().upper() for x in quoted] + ["", body])))
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = compared(spark, tmp_path, "op4_chat_formatting")
+    linked, quotes = (sum(r[i] for r in got) for i in (3, 4))  # columns n_linked and n_quotes
+    assert 40 < linked < quotes
+
+
 def test_near_vectors_on_made_clusters(spark, tmp_path):
     import numpy as np
 
