@@ -46,6 +46,8 @@ IMPLIED_PARENT = {"td": "tr", "th": "tr"}
 IN_HEAD = frozenset("base basefont bgsound link meta noframes script style template title".split())
 #: Lists, tables and quotes nested deeper than this are laid out as plain blocks; their text stays.
 MAX_NESTING = 40
+#: Rows that a cell spans at most, as the standard has it.
+MAX_ROWSPAN = 65_534
 #: End tags do not reach beyond these.
 SCOPE = frozenset("table td th caption template html".split())
 
@@ -137,7 +139,7 @@ def _attributes(rest: str) -> dict[str, str]:
     found: dict[str, str] = {}
     for m in _ATTRIBUTE.finditer(rest):
         name = m.group(1).lower()
-        if name in ("hidden", "style", "type", "open", "start", "value", "colspan", "alt", "reversed") and name not in found:
+        if name in ("hidden", "style", "type", "open", "start", "value", "colspan", "rowspan", "alt", "reversed") and name not in found:
             found[name] = html.unescape(next((g for g in m.groups()[1:] if g is not None), ""))
     return found
 
@@ -283,6 +285,13 @@ def _shown_inside(node: Node) -> bool:
     return bool(_INVISIBLE.search(style)) and "hidden" not in node.attributes and not re.search(r"display\s*:\s*none", style, re.IGNORECASE)
 
 
+def _visibility(node: Node, visible: bool) -> bool | None:
+    """Whether the element's own text shows, given its parent's; None where nothing inside can."""
+    if _is_hidden(node):
+        return False if node.name not in HIDDEN and _shown_inside(node) else None
+    return visible or _SHOWN.search(node.attributes.get("style", "")) is not None
+
+
 def render(node: Node) -> str:
     """All visible text of the tree, block by block."""
     out = _Lines()
@@ -290,9 +299,9 @@ def render(node: Node) -> str:
     return "\n".join(out.done())
 
 
-def _render_children(top: Node, out: _Lines, preserve: bool, depth: int) -> None:
+def _render_children(top: Node, out: _Lines, preserve: bool, depth: int, shown: bool = True) -> None:
     """Walk the tree with a stack of its own, so that depth is no limit."""
-    work: list[tuple] = [("in", top, preserve, True)]
+    work: list[tuple] = [("in", top, preserve, shown)]
     while work:
         what, item, kept, visible = work.pop()
         if what == "gap":
@@ -306,12 +315,16 @@ def _render_children(top: Node, out: _Lines, preserve: bool, depth: int) -> None
             work += [("node", child, kept, visible) for child in reversed(item.children)]
             continue
         name = item.name
-        if _is_hidden(item):
-            if name in HIDDEN or not _shown_inside(item):
-                continue
-            visible = False
-        elif not visible and _SHOWN.search(item.attributes.get("style", "")):
-            visible = True
+        state = _visibility(item, visible)
+        if state is None:
+            continue
+        visible = state
+        if name == "details" and "open" not in item.attributes:
+            # closed: its summary shows, the rest does not
+            closed = Node("div", {})
+            closed.children = [c for c in item.children if isinstance(c, Node) and c.name == "summary"][:1]
+            work.append(("node", closed, kept, visible))
+            continue
         if name == "br":
             if visible:
                 out.forced()
@@ -352,7 +365,7 @@ def _list(node: Node, depth: int) -> list[str]:
     """Items with a mark, their later lines indented below it; ordered lists count."""
     lines: list[str] = []
     step = -1 if "reversed" in node.attributes else 1
-    items = [c for c in node.children if isinstance(c, Node) and c.name == "li" and not _is_hidden(c)]
+    items = [c for c in node.children if isinstance(c, Node) and c.name == "li" and _visibility(c, True) is not None]
     number = _whole(node.attributes.get("start"), len(items) if step < 0 else 1)
     for child in node.children:
         inner = _Lines()
@@ -362,15 +375,21 @@ def _list(node: Node, depth: int) -> list[str]:
             _render_children(holder, inner, False, depth)
             lines += [f"  {line}" if line else "" for line in inner.done()]
             continue
-        if _is_hidden(child):
+        shown = _visibility(child, True)
+        if shown is None:
             continue
         mark = "- "
         if node.name == "ol":
             number = _whole(child.attributes.get("value"), number)
             mark = f"{number}. "
             number += step
-        _render_children(child, inner, False, depth)
-        body = inner.done() or [""]
+        _render_children(child, inner, False, depth, shown)
+        body = inner.done()
+        if not shown:
+            # the mark is hidden with the item; what shows inside keeps its place
+            lines += ["  " + line if line else "" for line in body]
+            continue
+        body = body or [""]
         lines.append((mark + body[0]).rstrip())
         lines += [" " * len(mark) + line if line else "" for line in body[1:]]
     return lines
@@ -380,59 +399,100 @@ def _whole(text: str | None, default: int) -> int:
     return int(text) if text and re.fullmatch(r"\s*[+-]?[0-9]{1,9}\s*", text) else default
 
 
-def _rows(node: Node) -> Iterator[Node]:
+def _row_groups(node: Node, shown: bool = True) -> Iterator[list[tuple[Node, bool]]]:
+    """The rows of each section with whether they show; rows outside a section form groups between sections."""
+    own: list[tuple[Node, bool]] = []
     for child in node.children:
-        if isinstance(child, Node) and not _is_hidden(child):
-            if child.name == "tr":
-                yield child
-            elif child.name in ("tbody", "thead", "tfoot"):
-                yield from _rows(child)
+        state = _visibility(child, shown) if isinstance(child, Node) else None
+        if state is None:
+            continue
+        if child.name == "tr":
+            own.append((child, state))
+        elif child.name in ("tbody", "thead", "tfoot"):
+            if own:
+                yield own
+                own = []
+            yield from _row_groups(child, state)
+    if own:
+        yield own
+
+
+def _cells(row: Node, shown: bool, depth: int) -> Iterator[tuple[list[str], int, int]]:
+    """Lines, columns and rows of each cell; what stands between cells counts as a cell if it has text."""
+    for cell in row.children:
+        inner = _Lines()
+        if isinstance(cell, str):
+            if shown and cell.strip():
+                yield [" ".join(cell.split())], 1, 1
+            continue
+        state = _visibility(cell, shown)
+        if state is None:
+            continue
+        if cell.name in ("td", "th"):
+            _render_children(cell, inner, False, depth, state)
+            columns, rows = (_whole(cell.attributes.get(x), 1) for x in ("colspan", "rowspan"))
+            yield inner.done(), min(max(columns, 1), 1000), MAX_ROWSPAN if rows == 0 else min(max(rows, 1), MAX_ROWSPAN)
+            continue
+        holder = Node("div", {})
+        holder.children.append(cell)
+        _render_children(holder, inner, False, depth, shown)
+        if found := inner.done():
+            yield found, 1, 1
+
+
+def _grid(node: Node, depth: int) -> list[list[tuple[int, list[str], int]]]:
+    """The cells of each row with text: column, lines, columns that it spans. A cell that spans rows keeps its
+    columns in the rows below, to the end of its section at most."""
+    grid = []
+    for group in _row_groups(node):
+        taken: dict[int, int] = {}  # column -> rows for which a cell from above still has it
+        for row, shown in group:
+            column, cells, fresh = 0, [], {}
+            for text, span, rows in _cells(row, shown, depth):
+                while taken.get(column, 0) > 0:
+                    column += 1
+                cells.append((column, text, span))
+                if rows > 1:
+                    fresh.update(dict.fromkeys(range(column, column + span), rows - 1))
+                column += span
+            taken = {c: n - 1 for c, n in taken.items() if n > 1} | fresh
+            if any(text for _, text, _ in cells):
+                grid.append(cells)
+    return grid
 
 
 def _table(node: Node, depth: int) -> list[str]:
     """The caption, what stands between the rows, and the rows with cells aligned in columns."""
     before = _Lines()
-    for group in [node, *[c for c in node.children if isinstance(c, Node) and c.name in ("tbody", "thead", "tfoot")]]:
+    sections = [(c, _visibility(c, True)) for c in node.children if isinstance(c, Node) and c.name in ("tbody", "thead", "tfoot")]
+    for group, shown in [(node, True), *sections]:
+        if shown is None:
+            continue
         loose = Node("div", {})
         loose.children = [c for c in group.children if isinstance(c, str) or c.name not in ("tr", "tbody", "thead", "tfoot", "colgroup")]
         before.block(0)
-        _render_children(loose, before, False, depth)
+        _render_children(loose, before, False, depth, shown)
     lines = before.done()
-    grid: list[list[tuple[list[str], int]]] = []
-    for row in _rows(node):
-        cells: list[tuple[list[str], int]] = []
-        for cell in row.children:
-            if isinstance(cell, Node) and cell.name in ("td", "th") and not _is_hidden(cell):
-                inner = _Lines()
-                _render_children(cell, inner, False, depth)
-                cells.append((inner.done(), min(max(_whole(cell.attributes.get("colspan"), 1), 1), 1000)))
-            elif isinstance(cell, str) and cell.strip():
-                cells.append(([" ".join(cell.split())], 1))
-            elif isinstance(cell, Node) and not _is_hidden(cell):
-                holder, inner = Node("div", {}), _Lines()
-                holder.children.append(cell)
-                _render_children(holder, inner, False, depth)
-                if found := inner.done():
-                    cells.append((found, 1))
-        if any(text for text, _ in cells):
-            grid.append(cells)
+    grid = _grid(node, depth)
     widths: dict[int, int] = {}
     for cells in grid:
-        column = 0
-        for text, span in cells:
+        for column, text, span in cells:
             if span == 1:
                 widths[column] = max(widths.get(column, 0), max(map(width, text), default=0))
-            column += span
+    starts: dict[int, int] = {}
+
+    def start(column: int) -> int:
+        if column not in starts:
+            starts[column] = sum(widths.get(c, 0) + 2 for c in range(column))
+        return starts[column]
+
     for cells in grid:
-        height = max(len(text) for text, _ in cells)
-        for i in range(height):
-            line, column, last = "", 0, 0
-            for text, span in cells:
-                part = text[i] if i < len(text) else ""
-                line += "  " * (column > 0) + part
-                room = sum(widths.get(c, 0) for c in range(column, column + span)) + 2 * (span - 1)
-                line += " " * max(0, room - width(part))
-                column += span
+        for i in range(max(len(text) for _, text, _ in cells)):
+            line = ""
+            for column, text, _ in cells:
+                if column:
+                    line += " " * max(start(column) - width(line), 2)
+                line += text[i] if i < len(text) else ""
             lines.append(line.rstrip())
     return lines
 
@@ -446,11 +506,14 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
     """``id_col, text`` per row: the page's visible text as it is laid out.
 
     Tags that HTML implies are added; scripts, styles, the head, templates and what attributes or
-    inline styles hide is left out; everything else stays, navigation and notices included. Blocks
+    inline styles hide is left out, and so is the body of closed details; everything else stays, navigation
+    and notices included, and so does what is visible again inside a hidden element. Blocks
     start lines, paragraphs, headings, lists and tables stand apart by an empty line, list items have
-    a mark or number with nested lists indented, and table cells are padded to columns. A null page
-    gives an empty text; broken markup gives what can be read of it. Null ids and repeated rows
-    stay rows; extra columns are ignored. Pages are independent and no page's size is limited.
+    a mark or number with nested lists indented, and table cells are padded to columns, with those below a
+    cell of several rows in their own. Lists, tables and quotes nested more than ``MAX_NESTING`` deep are
+    laid out as plain blocks. A null or empty page gives an empty text; broken markup gives what can be read of it.
+    Null ids and repeated rows stay rows, an empty table gives an empty one; extra columns are ignored. Pages are
+    independent and no page's size is limited.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,4 +1,5 @@
 import random
+import re
 import time
 
 import pytest
@@ -33,7 +34,7 @@ CASES = {
     "unclosed comment": ("a<!-- b", "a"),
     "less-than": ("1 < 2 <3 a<b", "1 < 2 <3 a"),
     "form": ("<select><option>a<option>b</select><textarea> x </textarea><input value=q><button>Go</button>", "a\nb\nx Go"),
-    "dialog": ("<dialog>no</dialog><dialog open>yes</dialog><details><summary>s</summary>d</details>", "yes\ns\nd"),
+    "dialog": ("<dialog>no</dialog><dialog open>yes</dialog><details><summary>s</summary>d</details>", "yes\ns"),
     "empty": ("", ""),
 }
 
@@ -78,3 +79,53 @@ def test_pages_with_odd_values(spark):
     got = extract_text(spark.createDataFrame(rows, "page_id long, html string, text string, url int")).collect()
     assert sorted((tuple(r) for r in got), key=repr) == [(1, ""), (2, ""), (3, "b"), (3, "b"), (None, "a")]
     assert extract_text(spark.createDataFrame([], "page_id long, html string")).collect() == []
+
+
+def test_cells_that_span_rows_keep_their_columns():
+    assert text_of("<table><tr><td rowspan=2>A<td>B1</tr><tr><td>B2</table>") == "A  B1\n   B2"
+    page = "<table><tr><td>a<td rowspan=3>long<td>c<tr><td rowspan=0>d<td>e<tr><td>f<tbody><tr><td>g<td>h<td>i</table>"
+    assert text_of(page) == "a  long  c\nd        e\n         f\ng  h     i"
+    assert text_of("<table><tr><td rowspan=2 colspan=2>x y<td>z<tr><td>w<tr><td>p<td>q<td>r</table>") == "x y   z\n      w\np  q  r"
+
+
+def test_what_is_visible_again_inside():
+    hidden, shown = "style='visibility:hidden'", "style='visibility: visible'"
+    assert text_of(f"<ul><li>one<li {hidden}>two<b {shown}>seen</b><li>three</ul>") == "- one\n  seen\n- three"
+    assert text_of(f"<ol><li>a<li {hidden}>b<li>c</ol>") == "1. a\n3. c"
+    assert text_of(f"<table><tr {hidden}><td>no<td {shown}>yes<tr><td>left<td {hidden}>x<p {shown}>right</p></table>") == "      yes\nleft  right"
+    assert text_of(f"<table><tbody {hidden}><tr><td>gone</tbody><tbody style='display:none'>loose<tr><td {shown}>gone</table>") == ""
+
+
+def test_closed_details_show_their_summary():
+    body = "<summary>head</summary><p>body</p>"
+    assert text_of(f"<details>{body}</details>") == "head"
+    assert text_of(f"<details open>{body}</details>").split() == ["head", "body"]
+    assert text_of("<details><p>body</p></details>end") == "end"
+
+
+def random_page(rng, depth, visible, words):
+    """Markup and, in ``words``, what of it shows, in order: by the rules of inheritance alone."""
+    parts = []
+    for _ in range(rng.randint(1, 3)):
+        word = f"w{len(words[1])}"
+        words[1].append(word)
+        if visible:
+            words[0].append(word)
+        parts.append(word)
+        if depth < 6 and rng.random() < 0.8:
+            style, inner = rng.choice([("", visible)] * 3 + [("visibility:hidden", False), ("visibility:visible", True), ("display:none", None)])
+            kept = (words[0] if inner is not None else [], words[1])
+            content = random_page(rng, depth + 1, bool(inner), kept)
+            kind = rng.choice(["div", "span", "p", "ul", "ol", "table", "blockquote", "section"])
+            wrapped = {"ul": f"<li>{content}</li>", "ol": f"<li>{content}</li>", "table": f"<tbody><tr><td>{content}</td></tr></tbody>"}.get(kind, content)
+            parts.append(f"<{kind} style='{style}'>{wrapped}</{kind}>")
+    return " ".join(parts)
+
+
+def test_visibility_is_inherited_whatever_is_nested():
+    rng = random.Random(14)
+    for _ in range(400):
+        words = ([], [])
+        page = random_page(rng, 0, True, words).replace("<p ", "<div ").replace("</p>", "</div>")
+        found = re.findall(r"w\d+", text_of(page))
+        assert found == words[0], page
