@@ -3,8 +3,10 @@ from seasonframe.operators.cohorts import (
     bookend_members,
     cohort,
     cohort_conversion,
+    distinct_counts,
     group_counts,
     grouped_corr,
+    grouped_rank_corr,
     members_of_all,
     single_group_members,
 )
@@ -37,10 +39,12 @@ __all__ = [
     "centered_anomaly",
     "cohort",
     "cohort_conversion",
+    "distinct_counts",
     "entity_totals",
     "extreme_row",
     "group_counts",
     "grouped_corr",
+    "grouped_rank_corr",
     "grouped_totals",
     "leader_overlap",
     "members_of_all",

@@ -6,8 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from seasonframe.functions import as_names, exact_ratio, guarded_corr, require_columns
+from seasonframe.functions import as_names, exact_ratio, guarded_corr, join_on_same, require_columns
+from seasonframe.operators.ordered import ROWS_PER_SLICE, prefix_sums
+from seasonframe.sources import written_and_observed
 
 
 def members_of_all(df: DataFrame, keys: str | Sequence[str], category: str, values: Sequence) -> DataFrame:
@@ -30,6 +33,76 @@ def grouped_corr(
     )
 
 
+def grouped_rank_corr(
+    df: DataFrame,
+    by: str | Sequence[str],
+    pairs: dict[str, tuple[str, str]],
+    direction: str = "desc",
+    digits: int | None = 4,
+    rows_per_slice: int | None = ROWS_PER_SLICE,
+) -> DataFrame:
+    """Per group, the correlation of the ranks that rows have by one column and by another.
+
+    Ranks are those of ``rank()`` over all rows of the group: rows that share a value share a rank, and NULL
+    counts as the largest value. NULL results below two rows and where one side is constant.
+
+    Rows are combined to distinct pairs of values first. Ranks come from the value counts and meet those
+    pairs, never the rows, and the moments are taken around the mean ranks, so that they lose no digits.
+    """
+    names = as_names(by)
+    require_columns(df, names, [c for pair in pairs.values() for c in pair])
+    result = None
+    for name, (x, y) in pairs.items():
+        counts = df.groupBy(*names, F.col(x).alias("_x"), F.col(y).alias("_y")).agg(F.count("*").alias("_n"))
+        counts, _ = written_and_observed(counts, rows=F.count(F.lit(1)))
+        for side in ("_x", "_y"):
+            values = counts.groupBy(*names, side).agg(F.sum("_n").alias("_peers"))
+            through = prefix_sums(values, names, (side, direction), {"_through": F.col("_peers")}, rows_per_slice, derived=True)
+            ranks = through.select(*names, side, (F.col("_through") - F.col("_peers") + 1).cast("double").alias(f"{side}_rank"))
+            counts = join_on_same(counts, ranks, [*names, side], "left")
+        means = counts.groupBy(*names).agg(
+            F.sum("_n").alias("_rows"), *((F.sum(F.col("_n") * F.col(f"{s}_rank")) / F.sum("_n")).alias(f"{s}_mean") for s in ("_x", "_y"))
+        )
+        centred = join_on_same(counts, means, names, "left")
+        dx, dy = (F.col(f"{s}_rank") - F.col(f"{s}_mean") for s in ("_x", "_y"))
+        moments = centred.groupBy(*names).agg(
+            *(F.sum(F.col("_n") * product).alias(m) for m, product in {"_xy": dx * dy, "_xx": dx * dx, "_yy": dy * dy}.items())
+        )
+        spread = F.nullif(F.sqrt(F.col("_xx")) * F.sqrt(F.col("_yy")), F.lit(0.0))
+        corr = F.col("_xy") / spread
+        corr = corr if digits is None else F.round(corr.cast(T.DecimalType(20, 15)), digits)
+        one = moments.select(*names, corr.alias(name))
+        result = one if result is None else join_on_same(result, one, names, "left")
+    if result is None:
+        raise ValueError("pairs must name at least one pair of columns")
+    return result
+
+
+def distinct_counts(df: DataFrame, by: str | Sequence[str], column: str, name: str = "n", method: str = "bitmap") -> DataFrame:
+    """Exact number of distinct values of a whole-number column per group; NULL is no value.
+
+    ``method="bitmap"`` sets one bit per value in maps of 32,768 neighbouring values, which are combined
+    map-side: a group with very many rows reaches the shuffle as one map per task and neighbourhood, and no
+    task holds a group's values. It suits keys, which lie densely; for values that lie far apart
+    ``method="rows"`` combines equal rows instead.
+    """
+    names = as_names(by)
+    require_columns(df, names, column)
+    if not isinstance(df.schema[column].dataType, T.IntegralType):
+        raise ValueError(f"{column!r} must be a whole-number column")
+    if method == "rows":
+        return df.groupBy(*names).agg(F.count_distinct(column).cast("bigint").alias(name))
+    if method != "bitmap":
+        raise ValueError("method must be 'bitmap' or 'rows'")
+    value = F.col(column).cast("bigint")
+    # bits of the value itself, so that negative ones have neighbourhoods of their own
+    maps = df.groupBy(*names, F.shiftright(value, 15).alias("_near")).agg(
+        F.bitmap_construct_agg(F.pmod(value, F.lit(1 << 15))).alias("_bits"), F.count(value).alias("_values")
+    )
+    size = F.when(F.col("_values") > 0, F.bitmap_count("_bits")).otherwise(F.lit(0))
+    return maps.groupBy(*names).agg(F.sum(size).cast("bigint").alias(name))
+
+
 def cohort(people: DataFrame, base: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """The people whose key occurs in ``base``, each once per people row."""
     names = as_names(key)

@@ -321,15 +321,18 @@ def streaks(
     if skipped_rows not in ("drop", "count"):
         raise ValueError("skipped_rows must be 'drop' or 'count'")
     rows = df if where is None else df.where(where)
-    rows = rows.where(F.col(period).isNotNull()).select(*dict.fromkeys([*group, *places, period])).distinct()
+    seen = rows.where(F.col(period).isNotNull()).select(*dict.fromkeys([*group, *places, period]))
+    rows = seen.distinct()
     skipped = np.array(sorted(set(skip)), dtype=np.int64)
     in_skip = F.array_contains(F.lit(skipped), F.col(period).cast("bigint")) if len(skipped) else F.lit(False)
     if skipped_rows == "drop":
-        rows = rows.where(~in_skip)
+        rows, seen = rows.where(~in_skip), seen.where(~in_skip)
     index = F.col(period)
     if len(skipped):
         index = index - F.size(F.filter(F.lit(skipped), lambda gap: gap < F.col(period)))
     slice_rows = series_slice_rows(rows, period, rows_per_slice, calendar)
+    if longest_only and slice_rows is not None and (skipped_rows == "drop" or not len(skipped)):
+        return _longest_runs(seen.select(*group, index.cast("bigint").alias("_index")), group, slice_rows)
     order = [period, *(c for c in places if c not in group)]
     numbered = prefix_sums(rows, group, order, {"_n": F.lit(1)}, slice_rows, derived=True)
     numbered = numbered.withColumn("_run", F.when(~in_skip, index - F.col("_n")))
@@ -345,6 +348,34 @@ def streaks(
     return positioned.select(*group, period, "streak")
 
 
+def _longest_runs(rows: DataFrame, group: Sequence[str], slice_rows: int) -> DataFrame:
+    """The longest run of consecutive ``_index`` per group; repeated rows count once.
+
+    Periods are combined map-side into words of 64 bits, and a word is cut into its runs of set bits. So
+    the ordered scan has a row for each run within a word, not for each period, and joins the runs that meet
+    at the edges of words.
+    """
+    word = F.shiftright("_index", 6)
+    place = F.pmod(F.col("_index"), F.lit(64)).cast("int")
+    words = rows.groupBy(*group, word.alias("_word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), place)).alias("_bits")
+    )
+    bits = F.col("_bits")
+    first = bits.bitwiseAND(F.bitwise_not(F.shiftleft(bits, 1)))
+    last = bits.bitwiseAND(F.bitwise_not(F.shiftrightunsigned(bits, 1)))
+
+    def places(of: Column) -> Column:
+        return F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit(of, i) == 1)
+
+    runs = words.select(*group, "_word", F.inline(F.arrays_zip(places(first).alias("_a"), places(last).alias("_b"))))
+    runs = runs.select(*group, (F.col("_word") * 64 + F.col("_a")).alias("_start"), (F.col("_word") * 64 + F.col("_b")).alias("_end"))
+    framed = over_neighbours(runs, group, "_start", lambda w: {"_before": F.lag("_end").over(w)}, 1, 0, slice_rows)
+    begins = F.coalesce(F.col("_before") + 1 != F.col("_start"), F.lit(True)).cast("bigint")
+    numbered = prefix_sums(framed, group, "_start", {"_run": begins}, slice_rows, derived=True)
+    lengths = numbered.groupBy(*group, "_run").agg((F.max("_end") - F.min("_start") + 1).alias("_length"))
+    return lengths.groupBy(*group).agg(F.max("_length").alias("longest_streak"))
+
+
 def before_after(
     df: DataFrame,
     entity: str | Sequence[str],

@@ -555,6 +555,32 @@ def line_corr_by_flag(spark, directory):
     return op.grouped_corr(read_table(spark, directory, "lineitem"), ["l_returnflag", "l_linestatus"], pairs)
 
 
+@query(
+    f"""WITH ranked AS (
+        SELECT l_returnflag, rank() OVER (PARTITION BY l_returnflag ORDER BY l_quantity DESC) AS quantity_rank,
+               rank() OVER (PARTITION BY l_returnflag ORDER BY nullif(l_discount, 0.05) DESC NULLS FIRST) AS discount_rank,
+               rank() OVER (PARTITION BY l_returnflag ORDER BY l_suppkey DESC) AS supplier_rank FROM lineitem)
+    SELECT l_returnflag, {_corr_sql('quantity_rank', 'discount_rank')} AS discount_rank_corr,
+           {_corr_sql('quantity_rank', 'supplier_rank')} AS supplier_rank_corr FROM ranked GROUP BY l_returnflag"""
+)
+def line_rank_corr_by_flag(spark, directory):
+    """Correlation of two ranks over all lines of a few large groups, from counts of values."""
+    lines = read_table(spark, directory, "lineitem").withColumn("l_discount", F.nullif(F.col("l_discount"), F.lit(0.05)))
+    pairs = {"discount_rank_corr": ("l_quantity", "l_discount"), "supplier_rank_corr": ("l_quantity", "l_suppkey")}
+    return op.grouped_rank_corr(lines, "l_returnflag", pairs)
+
+
+@query(
+    f"""SELECT o_orderstatus, {big('count(DISTINCT o_custkey) AS customers', 'count(DISTINCT o_orderkey) AS orders')}
+    FROM orders GROUP BY o_orderstatus"""
+)
+def distinct_keys_by_status(spark, directory):
+    """Distinct customers and orders of three large groups, by bitmaps."""
+    orders = read_table(spark, directory, "orders")
+    people = op.distinct_counts(orders, "o_orderstatus", "o_custkey", "customers")
+    return people.join(op.distinct_counts(orders, "o_orderstatus", "o_orderkey", "orders"), "o_orderstatus")
+
+
 _BUYERS = "SELECT user_id FROM events WHERE event_type = 'purchase'"
 _HIGH = "SELECT o_custkey FROM orders WHERE o_totalprice >= 450000"
 
