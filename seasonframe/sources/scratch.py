@@ -14,7 +14,7 @@ def _share_a_folder(spark: SparkSession) -> None:
         return
     folder = context.getConf().get("spark.checkpoint.dir")
     if folder is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="checkpoint-")
     context.setCheckpointDir(folder)
