@@ -228,7 +228,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
     """``id_col, ids`` per row: the ids of the whole text (null: empty), in order, as an array of ints.
 
     Each task builds its own pair index over the words that are new to it. Rows with a null id and
-    repeated rows are encoded like any other; extra columns are ignored.
+    repeated rows are encoded like any other, an empty table gives an empty one; extra columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,7 +271,11 @@ def decode_documents(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id",
 
 
 def encoding_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, n_tokens, ids_sha256, decoded_sha256``: encoded and decoded again in one pass, digests only."""
+    """``id_col, n_tokens, ids_sha256, decoded_sha256``: encoded and decoded again in one pass, digests only.
+
+    Null and empty texts have no ids and the digests of nothing; texts of any length are taken whole. Null
+    ids and repeated rows stay rows, an empty table gives an empty one, extra columns are ignored.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = PairIndexBpe(tokenizer)
