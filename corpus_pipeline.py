@@ -61,7 +61,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data in their texts replaced by its kind."""
+    """All documents, with personal data in their texts replaced by its kind; null ids and repeated rows stay rows."""
     clean = redact(docs)
     return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
 
