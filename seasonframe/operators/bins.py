@@ -77,8 +77,9 @@ def spine_ratio(
     if n_bins <= BROADCAST_BINS:
         totals = F.broadcast(totals)
     share = integer_ratio(F.col("_den"), F.lit(den_divisor)) if den_divisor != 1 else F.col("_den")
-    return bins.join(totals, "begin", "left").select(
+    # a column of its own, since the ratio refers to it several times
+    return bins.join(totals, "begin", "left").withColumn("_share", share).select(
         "begin",
         "end",
-        exact_ratio(F.col("_num"), share, digits, scale=scale).alias(ratio),
+        exact_ratio(F.col("_num"), F.col("_share"), digits, scale=scale).alias(ratio),
     )

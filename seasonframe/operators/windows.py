@@ -248,7 +248,10 @@ def centered_anomaly(
         )
     else:
         raise ValueError("mode must be 'range' or 'rows'")
-    gap = exact_ratio(F.col(value) * F.col("_n") - F.col("_sum"), F.col("_n"), digits, scale=scale)
+    # columns of their own, since what follows refers to them several times
+    framed = framed.withColumn("_over", F.col(value) * F.col("_n") - F.col("_sum"))
+    framed = framed.withColumn("_gap", exact_ratio(F.col("_over"), F.col("_n"), digits, scale=scale))
+    gap = F.col("_gap")
     return framed.select(
         *group,
         period,
@@ -436,12 +439,13 @@ def before_after(
     whole = framed.where(F.col("_event") & (F.col("_n_pre") == pre) & (F.col("_n_post") == high - low + 1))
     pre_mean = exact_ratio(F.col("_sum_pre"), F.col("_n_pre"), digits, scale=scale)
     post_mean = exact_ratio(F.col("_sum_post"), F.col("_n_post"), digits, scale=scale)
-    both = F.col("_n_pre") * F.col("_n_post")
-    change = F.col("_sum_post") * F.col("_n_pre") - F.col("_sum_pre") * F.col("_n_post")
+    whole = whole.withColumns(
+        {"_both": F.col("_n_pre") * F.col("_n_post"), "_change": F.col("_sum_post") * F.col("_n_pre") - F.col("_sum_pre") * F.col("_n_post")}
+    )
     return whole.select(
         *group,
         period,
         pre_mean.alias("pre_mean"),
         post_mean.alias("post_mean"),
-        exact_ratio(change, both, digits, scale=scale).alias("change"),
+        exact_ratio(F.col("_change"), F.col("_both"), digits, scale=scale).alias("change"),
     )
