@@ -174,9 +174,10 @@ def range_totals(
     upwards = [F.struct(F.lit(k).alias("_level"), _bin(F.col("_at"), F.lit(k * tree_bits)).alias("_bin")) for k in range(levels)]
     bins = per_value.select(*names, *partial, F.inline(F.array(*upwards))).groupBy(*names, "_level", "_bin").agg(*(F.sum(p).alias(p) for p in partial))
     tiled = bounded.select(*names, "_lo", "_hi", F.inline(_tiles(levels, tree_bits)))
-    totals = tiled.join(bins, [*names, "_level", "_bin"]).groupBy(*names, "_lo", "_hi").agg(*(F.sum(p).alias(p) for p in partial))
+    # Spark's estimates know neither the tiles of a range nor how well a file is packed, so it would broadcast what is large
+    totals = tiled.hint("merge").join(bins.hint("merge"), [*names, "_level", "_bin"]).groupBy(*names, "_lo", "_hi").agg(*(F.sum(p).alias(p) for p in partial))
     keyed = ranges.withColumns({"_lo": _unit(ranges, low), "_hi": _unit(ranges, high)})
-    joined = join_on_same(keyed, totals, [*names, "_lo", "_hi"], "left")
+    joined = join_on_same(keyed, totals.hint("merge"), [*names, "_lo", "_hi"], "left")
 
     def total(column: str) -> Column:
         kind = facts.schema[column].dataType

@@ -118,3 +118,10 @@ def test_no_plan_compares_all_pairs(spark):
     for df in (op.range_join(p, r, "v", "lo", "hi", how="left"), op.range_totals(p, r, "v", "lo", "hi", {"s": "v"})):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_tiles_are_not_broadcast_by_an_estimate(spark):
+    p, r = spark.range(1000).withColumnRenamed("id", "v"), spark.range(50).selectExpr("id lo", "id + id % 7 hi")
+    plan = op.range_totals(p, r, "v", "lo", "hi", {"s": "v"})._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
+    assert plan.count("SortMergeJoin") == 2
