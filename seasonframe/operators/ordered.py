@@ -24,8 +24,9 @@ from pyspark.sql import types as T
 from seasonframe.functions import SortKey, join_on_same, require_columns, sort_keys
 from seasonframe.sources import written_and_observed, written_once
 
-ROWS_PER_SLICE = 1_000_000
-SLICES_PER_PART = 8  # slices that one task sorts, as long as there are no more than MAX_PARTS tasks
+ROWS_PER_SLICE = 250_000
+ROWS_PER_TASK = 250_000  # rows that one task sorts (or one slice, if that is larger), as long as there are no more than MAX_PARTS tasks
+SLICES_PER_PART = 8  # at most, where slices are small
 MAX_PARTS = 20_000
 BROADCAST_CARRIES = 200_000
 PERIODS_PER_BLOCK = 100_000
@@ -46,6 +47,11 @@ class Sliced:
     rows: DataFrame
     partition_by: list[str]
     slices: int
+    tasks: int
+
+    def dealt(self, rows: DataFrame, place: str = _SLICE) -> DataFrame:
+        """Rows dealt by group and slice to a fixed number of tasks: by their packed bytes, many slices would be sorted in one."""
+        return rows.repartition(self.tasks, *self.partition_by, place)
 
     def cut_groups(self) -> DataFrame:
         """The groups that lie in several slices: first or last in one, so at most two for each slice."""
@@ -84,13 +90,15 @@ def find_slices(
     total = df.count() if total is None else total
     if total <= rows_per_slice:
         return None
-    parts = min(MAX_PARTS, -(-total // (rows_per_slice * SLICES_PER_PART)))
+    per_part = rows_per_slice * max(1, min(SLICES_PER_PART, ROWS_PER_TASK // rows_per_slice))
+    parts = min(MAX_PARTS, -(-total // per_part))
     order = [*(F.col(c).asc_nulls_first() for c in partition_by), *(k.sort() for k in keys)]
     ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     held = written_once(ranged.withColumn(_ROW, F.monotonically_increasing_id()))
     place = F.col(_ROW).bitwiseAND(F.lit((1 << _PART_BITS) - 1))
     held = held.withColumn(_SLICE, F.col(_ROW) - place % rows_per_slice).withColumn(_PART, F.shiftright(_ROW, _PART_BITS))
-    return Sliced(held, list(partition_by), parts + -(-total // rows_per_slice))
+    tasks = min(MAX_PARTS, -(-total // max(rows_per_slice, ROWS_PER_TASK)) * 2)  # twice as many, since slices meet by hash
+    return Sliced(held, list(partition_by), parts + -(-total // rows_per_slice), tasks)
 
 
 def _sum_of(here: Column, before: Column) -> Column:
@@ -155,7 +163,7 @@ def _prefix_sums(
 
     group = [*partition_by, _SLICE]
     in_slice = Window.partitionBy(*group).orderBy(*sorts).rowsBetween(*so_far)
-    running = sliced.rows.select(*df.columns, _SLICE, *(F.sum(c).over(in_slice).alias(n) for n, c in sums.items()))
+    running = sliced.dealt(sliced.rows).select(*df.columns, _SLICE, *(F.sum(c).over(in_slice).alias(n) for n, c in sums.items()))
     totals = _of_cut_groups(sliced).groupBy(*group, _PART).agg(*(F.sum(c).alias(f"__{n}") for n, c in sums.items()))
     carries = _earlier(totals, partition_by, sums=[f"__{n}" for n in sums])
     # a slice that follows on in its group: fewer than there are slices
@@ -269,7 +277,7 @@ def _scan_slices(
     by_key = Window.partitionBy(*group).orderBy(*(k.sort() for k in keys))
     by_row = Window.partitionBy(*group).orderBy(*(k.sort() for k in [*keys, *breakers]))
     by_row = by_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    scanned = sliced.rows.select(
+    scanned = sliced.dealt(sliced.rows).select(
         *df.columns,
         _SLICE,
         *(F.sum(c).over(by_row).alias(n) for n, c in sums.items()),
@@ -277,7 +285,7 @@ def _scan_slices(
         F.dense_rank().over(by_key).cast("bigint").alias("__dense"),
     )
 
-    ends = _of_cut_groups(sliced).select(
+    ends = sliced.dealt(_of_cut_groups(sliced)).select(
         *group,
         _PART,
         *(c.alias(f"__sum_{n}") for n, c in sums.items()),
@@ -359,7 +367,7 @@ def over_neighbours(
         F.when(offset >= size - before, home + 1),
         F.when(offset < after, home - 1),
     )
-    copies = indexed.withColumn(_BLOCK, F.explode(F.array_compact(reached)))
+    copies = sliced.dealt(indexed.withColumn(_BLOCK, F.explode(F.array_compact(reached))), _BLOCK)
     w = Window.partitionBy(*partition_by, _BLOCK).orderBy(_INDEX)
     framed = copies.select("*", *(c.alias(n) for n, c in columns(w).items()))
     return framed.where(F.col(_BLOCK) == home).drop(_INDEX, _BLOCK)

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from seasonframe.operators import add_ranks, over_neighbours, prefix_sums, rankings
-from seasonframe.operators.ordered import find_slices, over_distance
+from seasonframe.operators.ordered import ROWS_PER_SLICE, find_slices, over_distance
 from seasonframe.functions import sort_keys
 
 
@@ -162,3 +162,18 @@ def test_one_pass_sizes_the_ranks(skewed, monkeypatch):
 def test_sliced_plan_joins_by_key(skewed):
     plan = prefix_sums(skewed, [], ["v", "id"], {"n": F.lit(1)}, 100)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_a_task_gets_few_rows_however_well_they_pack(skewed, monkeypatch):
+    """Slices are dealt by their number: by their bytes, one task would sort them all."""
+    monkeypatch.setattr("seasonframe.operators.ordered.ROWS_PER_TASK", 300, raising=False)
+    ranked = rankings(skewed, ("v", "asc"), ["g"], ["id"], rows_per_slice=100)
+    tasks = ranked.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(t["count"] for t in tasks) == 3000
+    assert max(t["count"] for t in tasks) <= 900
+
+
+def test_groups_beyond_a_task_are_cut_without_being_told(spark):
+    sliced = find_slices(spark.range(600_000), [], sort_keys("id"), ROWS_PER_SLICE)
+    sizes = sliced.rows.groupBy(F.spark_partition_id()).count().collect()
+    assert max(s["count"] for s in sizes) < 400_000
