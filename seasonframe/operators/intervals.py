@@ -19,9 +19,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seasonframe.functions import as_names, decimal_places, join_on_same, require_columns
+from seasonframe.sources import written_and_observed, written_once
 
 #: Powers of two between the bin widths of single-row joins: 1 files ranges tightest, more makes a point look less often.
 LEVEL_STEP = 2
+#: A bin of the widest level with more points than this is crowded: pairs are then counted, and dealt by their number.
+CROWDED = 64
+#: Points, or ranges, of a bin that meet in one piece, where the bin is cut.
+BLOCK = 2_048
+#: Pairs that one task compares, and rows that it sorts, about.
+PAIRS_PER_TASK = 8_000_000
+ROWS_PER_TASK = 1_000_000
+MAX_TASKS = 100_000
+BROADCAST_BINS = 200_000
 #: Bits of a tree level of totals: a range is tiled by less than 2 * 2**bits bins a level.
 TREE_BITS = 4
 
@@ -64,6 +74,37 @@ def _filed(ranges: DataFrame, low: str, high: str, step: int) -> DataFrame:
     return bounded.withColumn("_level", F.when(width.isNull(), 63).otherwise(F.least(level, F.lit(63))).cast("int"))
 
 
+def _is_crowded(points: DataFrame, point: str, names: Sequence[str], level: int) -> bool:
+    """Whether many points share a bin of the widest level in use; no narrower one holds more."""
+    binned = points.select(*names, _bin(_unit(points, point), F.lit(level)).alias("_bin")).where(F.col("_bin").isNotNull())
+    return not binned.groupBy(*names, "_bin").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > CROWDED).isEmpty()
+
+
+def _cut(filed: DataFrame, looking: DataFrame, keys: list[str], rows: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides dealt so that a task compares a bounded number of pairs, and the columns on which they meet.
+
+    A bin of many points or ranges is cut into blocks of either by the numbers of their rows, and every block
+    of points meets every block of ranges in a piece of its own. The tasks follow the number of copies and of
+    pairs, which the bytes of the two sides do not tell.
+    """
+    held = looking.groupBy(*keys).agg(F.count(F.lit(1)).alias("_points")).join(filed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ranges")), keys)
+    cut = (F.col("_points") > BLOCK) | (F.col("_ranges") > BLOCK)
+    pairs = F.sum(F.col("_points").cast("double") * F.col("_ranges"))
+    copies = F.sum(F.col("_points") * F.ceil(F.col("_ranges") / BLOCK).cast("double") + F.col("_ranges") * F.ceil(F.col("_points") / BLOCK))
+    held, seen = written_and_observed(held, pairs=pairs, copies=copies, bins=F.count_if(cut))
+    copying = min(MAX_TASKS, int((seen["copies"] + rows) // ROWS_PER_TASK) + 1)
+    tasks = min(MAX_TASKS, int(seen["pairs"] // PAIRS_PER_TASK) + copying)
+    blocks = held.where(cut).select(*keys, *(F.ceil(F.col(n) / BLOCK).cast("bigint").alias(n) for n in ("_points", "_ranges")))
+    blocks = F.broadcast(blocks) if seen["bins"] <= BROADCAST_BINS else blocks
+
+    def dealt(side: DataFrame, number: str, own: str, other: str) -> DataFrame:
+        side = join_on_same(side.repartition(copying, number), blocks, keys, "left").withColumns({n: F.coalesce(n, F.lit(1).cast("bigint")) for n in ("_points", "_ranges")})
+        side = side.withColumn(f"{own}_block", F.pmod(number, own)).withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)))
+        return side.drop("_points", "_ranges", number).repartition(tasks, *keys, "_points_block", "_ranges_block")
+
+    return dealt(filed, "_range", "_ranges", "_points"), dealt(looking, "_row", "_points", "_ranges"), [*keys, "_points_block", "_ranges_block"]
+
+
 def range_join(
     points: DataFrame,
     ranges: DataFrame,
@@ -80,8 +121,9 @@ def range_join(
     not share names. ``how="left"`` keeps ranges without a point, with NULL for the points' columns.
 
     A point is copied once per width in use (at most 64 / ``level_step``), a range twice at most; a pair
-    meets in one bin only. A hot bin is an inner equi-join, which adaptive execution can split. Ranges
-    without a point are found by combined counts, not by an outer join.
+    meets in one bin only. Where bins are crowded, both sides are written once, the pairs to compare are counted,
+    and the work is dealt by their number, hot bins in blocks. Ranges without a point are found by combined
+    counts, not by an outer join.
     """
     names = as_names(on)
     _check(points, ranges, point, low, high, names)
@@ -94,14 +136,21 @@ def range_join(
         raise ValueError(f"points and ranges share the columns {sorted(shared)}; rename them or list them in on")
     filed = _filed(ranges, low, high, level_step)
     levels = sorted(r["_level"] for r in filed.select("_level").distinct().collect())  # 64 at most
+    crowded = bool(levels) and _is_crowded(points, point, names, levels[-1])
+    columns = [*ranges.columns, *(c for c in points.columns if c not in names)]
+    keys, value = [*names, "_level", "_bin"], _unit(points, point)
+    looking = points.withColumn("_at", value).where(F.col("_at").isNotNull())
+    if crowded:
+        filed = written_once(filed.withColumn("_range", F.monotonically_increasing_id()))
+        looking, seen = written_and_observed(looking.withColumn("_row", F.monotonically_increasing_id()), rows=F.count(F.lit(1)))
     first, last = _bin(F.col("_lo"), F.col("_level")), _bin(F.col("_hi"), F.col("_level"))
     filed = filed.withColumn("_bin", F.explode(F.array_distinct(F.array(first, last))))
-    value = _unit(points, point)
-    places = [F.struct(F.lit(k).alias("_level"), _bin(value, F.lit(k)).alias("_bin")) for k in levels]
-    looking = points.withColumn("_at", value).where(F.col("_at").isNotNull())
+    places = [F.struct(F.lit(k).alias("_level"), _bin(F.col("_at"), F.lit(k)).alias("_bin")) for k in levels]
     looking = looking.select("*", F.inline(F.array(*places))) if levels else looking.select("*", F.lit(0).alias("_level"), F.lit(0).alias("_bin")).limit(0)
-    met = filed.join(looking, [*names, "_level", "_bin"]).where(F.col("_at").between(F.col("_lo"), F.col("_hi")))
-    columns = [*ranges.columns, *(c for c in points.columns if c not in names)]
+    if crowded:
+        filed, looking, keys = _cut(filed, looking, keys, seen["rows"] * len(levels))
+    # as in range_totals, the copies are beyond Spark's estimates
+    met = filed.hint("merge").join(looking.hint("merge"), keys).where(F.col("_at").between(F.col("_lo"), F.col("_hi")))
     found = met.select(*columns)
     if how == "inner":
         return found

@@ -6,8 +6,10 @@ from decimal import Decimal
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from seasonframe import operators as op
+from seasonframe.operators import intervals
 
 
 def brute(points, ranges):
@@ -125,3 +127,38 @@ def test_tiles_are_not_broadcast_by_an_estimate(spark):
     plan = op.range_totals(p, r, "v", "lo", "hi", {"s": "v"})._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan
     assert plan.count("SortMergeJoin") == 2
+
+
+def cut_small(monkeypatch, crowded, block, pairs):
+    for name, value in (("CROWDED", crowded), ("BLOCK", block), ("PAIRS_PER_TASK", pairs)):
+        monkeypatch.setattr(intervals, name, value, raising=False)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_every_pair_meets_once_in_cut_bins(spark, monkeypatch, seed):
+    cut_small(monkeypatch, 2, 3 + seed, 100)
+    points, ranges = made(seed)
+    points += [("a", 7)] * 20
+    p, r = tables(spark, points, ranges)
+    want = brute(points, ranges)
+    lone = [(i, None) for i in range(len(ranges)) if i not in {x for x, _ in want}]
+    found = op.range_join(p, r, "v", "lo", "hi", on="key", how="left")
+    assert rows(found, "i", "j") == sorted(want + lone, key=repr)
+    assert found.columns == ["key", "lo", "hi", "i", "v", "j", "amount"]
+
+
+def test_cut_bins_of_one_table_with_itself(spark, monkeypatch):
+    cut_small(monkeypatch, 0, 2, 50)
+    df = spark.createDataFrame([(i % 3, i // 2, i) for i in range(60)], "key int, v int, i int")
+    r = df.select("key", F.col("i").alias("of"), (F.col("v") + 1).alias("lo"), (F.col("v") + F.col("i") % 9).alias("hi"))
+    want = [(i, j) for i in range(60) for j in range(60) if i % 3 == j % 3 and i // 2 + 1 <= j // 2 <= i // 2 + i % 9]
+    assert rows(op.range_join(df, r, "v", "lo", "hi", on="key"), "of", "i") == sorted(want, key=repr)
+
+
+def test_tasks_follow_the_number_of_pairs(spark, monkeypatch):
+    cut_small(monkeypatch, 8, 64, 20_000)
+    p = spark.range(1000).selectExpr("id v")
+    r = spark.range(200).selectExpr("id i", "id lo", "id + 700 hi")
+    tasks = op.range_join(p, r, "v", "lo", "hi").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(t["count"] for t in tasks) == 200 * 701
+    assert max(t["count"] for t in tasks) <= 60_000
